@@ -16,7 +16,7 @@ def promote(x: str) -> str:
 
 
 def file_name(prefix: str) -> str:
-    return (f"'{prefix}orders_' || strftime(o.o_orderdate, '%Y%m%d') || '_' || "
+    return (f"'{prefix}orders_' || strftime(o.o_orderdate, '%Y%m') || '_' || "
             f"lpad(CAST(o.o_orderkey // 100000 AS VARCHAR), 5, '0') || '.json'")
 
 
@@ -201,3 +201,83 @@ SELECT c.shipping_country, p.category, dc.loyalty_tier,
 FROM per_order p JOIN cur c ON c.order_id = p.order_id
 LEFT JOIN dimc dc ON dc.customer_id = c.customer_id
 GROUP BY 1, 2, 3"""
+
+# ---------------------------------------------------------------- stored state
+
+ORACLE["incremental_equals_batch"] = ORACLE["fact_order_items"]
+ORACLE["reset_and_replay"] = ORACLE["fact_orders"]
+ORACLE["compacted_read"] = ORACLE["stg_items_replace"]
+ORACLE["stream_pipeline"] = ORACLE["fact_order_items"]
+
+STATS = """stats AS (
+  SELECT
+    (SELECT count(*) FROM docs) AS n_orders,
+    (SELECT count(*) FROM docs WHERE resent) AS n_resent,
+    (SELECT count(*) FROM docs d JOIN lines li ON li.l_orderkey = d.o_orderkey) AS n_lines,
+    (SELECT count(*) FROM docs d JOIN lines li ON li.l_orderkey = d.o_orderkey WHERE d.resent) AS n_del,
+    (SELECT count(*) FROM docs d JOIN lines li ON li.l_orderkey = d.o_orderkey
+      WHERE d.resent AND li.l_linestatus = 'F') AS n_ins,
+    (SELECT count(DISTINCT customer_id) FROM docs) AS n_cust,
+    (SELECT count(DISTINCT customer_id) FROM docs WHERE resent) AS n_cust2,
+    (SELECT count(DISTINCT li.product_id) FROM docs d JOIN lines li ON li.l_orderkey = d.o_orderkey) AS n_prod,
+    (SELECT count(DISTINCT li.product_id) FROM docs d JOIN lines li ON li.l_orderkey = d.o_orderkey
+      WHERE d.resent AND li.l_linestatus = 'F') AS n_prod2,
+    (SELECT max(file1) FROM docs) AS f1,
+    (SELECT max(file2) FROM docs WHERE resent) AS f2
+)"""
+
+_STEPS = [  # (batch, procedure, step, count expression, file)
+    (0, "SP_RAW_TO_STG_ORDERS", "STREAM_READ_CREATE_TMP", "n_orders", "f1"),
+    (0, "SP_RAW_TO_STG_ORDERS", "MERGE_STG_ORDERS", "n_orders", "f1"),
+    (0, "SP_RAW_TO_STG_ORDERS", "DELETE_STG_ORDER_ITEMS", "0", "f1"),
+    (0, "SP_RAW_TO_STG_ORDERS", "INSERT_STG_ORDER_ITEMS", "n_lines", "f1"),
+    (0, "SP_STG_TO_CURATED", "STREAM_READ_ORDERS", "n_orders", "f1"),
+    (0, "SP_STG_TO_CURATED", "STREAM_READ_ORDER_ITEMS", "n_lines", "f1"),
+    (0, "SP_STG_TO_CURATED", "MERGE_DIM_CUSTOMER", "n_cust", "f1"),
+    (0, "SP_STG_TO_CURATED", "MERGE_DIM_PRODUCT", "n_prod", "f1"),
+    (0, "SP_STG_TO_CURATED", "MERGE_FACT_ORDERS", "n_orders", "f1"),
+    (0, "SP_STG_TO_CURATED", "DELETE_FACT_ORDER_ITEMS", "0", "f1"),
+    (0, "SP_STG_TO_CURATED", "INSERT_FACT_ORDER_ITEMS", "n_lines", "f1"),
+    (1, "SP_RAW_TO_STG_ORDERS", "STREAM_READ_CREATE_TMP", "n_resent", "f2"),
+    (1, "SP_RAW_TO_STG_ORDERS", "MERGE_STG_ORDERS", "n_resent", "f2"),
+    (1, "SP_RAW_TO_STG_ORDERS", "DELETE_STG_ORDER_ITEMS", "n_del", "f2"),
+    (1, "SP_RAW_TO_STG_ORDERS", "INSERT_STG_ORDER_ITEMS", "n_ins", "f2"),
+    (1, "SP_STG_TO_CURATED", "STREAM_READ_ORDERS", "2 * n_resent", "f2"),
+    (1, "SP_STG_TO_CURATED", "STREAM_READ_ORDER_ITEMS", "n_del + n_ins", "f2"),
+    (1, "SP_STG_TO_CURATED", "MERGE_DIM_CUSTOMER", "n_cust2", "f2"),
+    (1, "SP_STG_TO_CURATED", "MERGE_DIM_PRODUCT", "n_prod2", "f2"),
+    (1, "SP_STG_TO_CURATED", "MERGE_FACT_ORDERS", "n_resent", "f2"),
+    (1, "SP_STG_TO_CURATED", "DELETE_FACT_ORDER_ITEMS", "n_del", "f2"),
+    (1, "SP_STG_TO_CURATED", "INSERT_FACT_ORDER_ITEMS", "n_ins", "f2"),
+]
+
+ORACLE["audit_steps"] = _with(DOCS, LINES, STATS) + "\nUNION ALL\n".join(
+    f"SELECT CAST({b} AS BIGINT) AS batch_id, '{p}' AS procedure_name, '{s}' AS stage_step, "
+    f"CAST({e} AS BIGINT) AS affected_rows, 'SUCCESS' AS status, {f} AS file_name FROM stats"
+    for b, p, s, e, f in _STEPS)
+
+
+def _summary(b: str, n: str, d: str, i: str, c: str, p: str, o: str) -> str:
+    return (f"SELECT CAST({b} AS BIGINT) AS batch_id, CAST({n} AS BIGINT) AS stream_rows, "
+            f"CAST({n} AS BIGINT) AS merged_rows, CAST({d} AS BIGINT) AS deleted_rows, "
+            f"CAST({i} AS BIGINT) AS inserted_rows, "
+            f"'latest=' || {n} || ', merged=' || {n} || ', deleted=' || {d} || ', inserted=' || {i} AS stage1_result, "
+            f"'dim_customer=' || {c} || ', dim_product=' || {p} || ', fact_orders=' || {o} || "
+            f"', items_deleted=' || {d} || ', items_inserted=' || {i} AS stage2_result FROM stats")
+
+
+ORACLE["batch_summary"] = _with(DOCS, LINES, STATS) + _summary(
+    "0", "n_orders", "0", "n_lines", "n_cust", "n_prod", "n_orders") + "\nUNION ALL\n" + _summary(
+    "1", "n_resent", "n_del", "n_ins", "n_cust2", "n_prod2", "n_resent")
+
+ORACLE["layer_counts"] = _with(DOCS, CUR, LINES, ITEMS2, STATS) + """
+SELECT 'RAW' AS layer, 'raw_orders_json' AS object_name, CAST(n_orders + n_resent AS BIGINT) AS row_count FROM stats
+UNION ALL SELECT 'STREAM', 'RAW_ORDERS_STREAM', CAST(0 AS BIGINT)
+UNION ALL SELECT 'STAGED', 'stg_orders', CAST(n_orders AS BIGINT) FROM stats
+UNION ALL SELECT 'STREAM', 'STG_ORDERS_STREAM', CAST(0 AS BIGINT)
+UNION ALL SELECT 'STAGED', 'stg_order_items', CAST(count(*) AS BIGINT) FROM items2
+UNION ALL SELECT 'STREAM', 'STG_ORDER_ITEMS_STREAM', CAST(0 AS BIGINT)
+UNION ALL SELECT 'CURATED', 'dim_customer', CAST(n_cust AS BIGINT) FROM stats
+UNION ALL SELECT 'CURATED', 'dim_product', CAST(n_prod AS BIGINT) FROM stats
+UNION ALL SELECT 'CURATED', 'fact_orders', CAST(n_orders AS BIGINT) FROM stats
+UNION ALL SELECT 'CURATED', 'fact_order_items', CAST(count(*) AS BIGINT) FROM items2"""

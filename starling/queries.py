@@ -213,3 +213,113 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_history": q_run_history,
     "star_revenue": q_star_revenue,
 }
+
+
+# ---------------------------------------------------------------- stored state (incremental engine)
+
+from starling.session import shared_path  # noqa: E402
+from starling.store import pipeline as store_pipeline  # noqa: E402
+from starling.store.tables import Store  # noqa: E402
+
+
+def _store(spark, label: str, money="number") -> Store:
+    return Store(spark, shared_path(spark, "queries", label), money)
+
+
+def _stored_two_batches(spark, sf_dir) -> Store:
+    st = _store(spark, "two-batches")
+    store_pipeline.run_batches(st, scenario.two_batches(spark, sf_dir))
+    return st
+
+
+def q_incremental_equals_batch(spark, sf_dir):
+    """Four dated loads then the status update, batch by batch through the stored state."""
+    st = _store(spark, "dated")
+    store_pipeline.run_batches(st, scenario.dated_batches(spark, sf_dir))
+    return st.current("fact_order_items").select(*FACT_ITEM_COLS)
+
+
+def q_layer_counts(spark, sf_dir):
+    st = _stored_two_batches(spark, sf_dir)
+    upto = st.last_commit()
+    pending = st.log("landing_loads", upto=10**12, after=upto)
+    staged_pending_o = st.log("stg_orders", upto=10**12, after=upto)
+    staged_pending_i = st.log("stg_order_items", upto=10**12, after=upto)
+    return diagnostics.layer_counts([
+        ("RAW", "raw_orders_json", st.landing()),
+        ("STREAM", "RAW_ORDERS_STREAM", pending),
+        ("STAGED", "stg_orders", st.current("stg_orders")),
+        ("STREAM", "STG_ORDERS_STREAM", staged_pending_o),
+        ("STAGED", "stg_order_items", st.current("stg_order_items")),
+        ("STREAM", "STG_ORDER_ITEMS_STREAM", staged_pending_i),
+        ("CURATED", "dim_customer", st.current("dim_customer")),
+        ("CURATED", "dim_product", st.current("dim_product")),
+        ("CURATED", "fact_orders", st.current("fact_orders")),
+        ("CURATED", "fact_order_items", st.current("fact_order_items")),
+    ])
+
+
+def q_audit_steps(spark, sf_dir):
+    st = _stored_two_batches(spark, sf_dir)
+    return st.audit().select("batch_id", "procedure_name", "stage_step", "affected_rows", "status", "file_name")
+
+
+def q_batch_summary(spark, sf_dir):
+    return diagnostics.batch_summary(_stored_two_batches(spark, sf_dir).audit())
+
+
+def q_reset_and_replay(spark, sf_dir):
+    st = _store(spark, "reset")
+    l1, l2 = scenario.two_batches(spark, sf_dir)
+    store_pipeline.load_batch(st, l1)
+    fresh = st.reset()
+    store_pipeline.run_batches(fresh, [l1, l2])
+    return fresh.current("fact_orders").select(*stage2.FACT_ORDER_COLS)
+
+
+def q_compacted_read(spark, sf_dir):
+    """Compaction after the initial load; the status update lands on top of the base."""
+    st = _store(spark, "compact")
+    l1, l2 = scenario.two_batches(spark, sf_dir)
+    store_pipeline.load_batch(st, l1)
+    st.compact()
+    store_pipeline.load_batch(st, l2)
+    return st.current("stg_order_items").select(*ITEM_COLS)
+
+
+def q_stream_pipeline(spark, sf_dir):
+    """Files -> ingest stream -> landing -> transform stream (foreachBatch) -> curated."""
+    from starling.sources.documents import documents_to_files, load_tables
+    from starling.sources.json_files import write_json_array_files
+    from starling.streaming.ingest import start_ingest
+    from starling.streaming.transform import run_until_drained, start_transform
+
+    st = _store(spark, "stream")
+    t = load_tables(spark, sf_dir)
+    drop = f"{st.root}/_incoming"
+    for docs in (scenario.initial_documents(t), scenario.resend_documents(t)):
+        write_json_array_files(documents_to_files(docs), drop)
+        run_until_drained(start_ingest(spark, drop, st, max_files_per_trigger=2000))
+        run_until_drained(start_transform(spark, st))
+    return st.current("fact_order_items").select(*FACT_ITEM_COLS)
+
+
+def q_file_listing(spark, sf_dir):
+    from starling.sources.documents import documents_to_files, load_tables
+    from starling.sources.json_files import list_files, write_json_array_files
+
+    drop = shared_path(spark, "queries", "listing")
+    write_json_array_files(documents_to_files(scenario.initial_documents(load_tables(spark, sf_dir))), drop)
+    return list_files(spark, drop).where(F.col("path").endswith(".txt"))
+
+
+QUERIES.update({
+    "incremental_equals_batch": q_incremental_equals_batch,
+    "layer_counts": q_layer_counts,
+    "audit_steps": q_audit_steps,
+    "batch_summary": q_batch_summary,
+    "reset_and_replay": q_reset_and_replay,
+    "compacted_read": q_compacted_read,
+    "stream_pipeline": q_stream_pipeline,
+    "file_listing": q_file_listing,
+})

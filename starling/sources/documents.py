@@ -8,7 +8,7 @@ lineitem x part {l_partkey, p_type, l_quantity, p_retailprice}, in line order;
 shipping = {n_name, r_name, delivery type from o_orderpriority}.
 
 Documents are grouped into array files of bounded size: a file holds the
-orders of one order date within one span of ``FILE_KEY_SPAN`` order keys, so
+orders of one order month within one span of ``FILE_KEY_SPAN`` order keys, so
 no file (and no group) can exceed that many documents at any scale.
 """
 
@@ -63,7 +63,7 @@ def delivery_type(priority: Column) -> Column:
 
 def file_name_of(order_date: Column, order_key: Column, prefix: str = "") -> Column:
     chunk = F.lpad(F.floor(order_key / F.lit(FILE_KEY_SPAN)).cast("bigint").cast("string"), 5, "0")
-    return F.concat(F.lit(f"{prefix}orders_"), F.date_format(order_date, "yyyyMMdd"), F.lit("_"), chunk, F.lit(".json"))
+    return F.concat(F.lit(f"{prefix}orders_"), F.date_format(order_date, "yyyyMM"), F.lit("_"), chunk, F.lit(".json"))
 
 
 def order_documents(t: Tables, *, orders_where: Column | None = None, lines_where: Column | None = None,
