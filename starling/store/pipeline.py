@@ -67,7 +67,7 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
             raise InjectedFailure(f"injected failure after {step}")
 
     landing = landing.persist()
-    latest = None
+    latest = prior_versions = None
     try:
         # ------------------------------------------------ stage 1
         ctx["step"] = "STREAM_READ_CREATE_TMP"
@@ -83,11 +83,13 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
         prior = store.last_commit()
         keys = latest.select("order_id")
         merged = _write_counted(store, "stg_orders", stage1.staged_orders(latest, money, strict), batch_id)
-        updated = keys.join(store.log("stg_orders", prior).select("order_id"), "order_id", "left_semi").count()
+        # committed version of every order of the batch that existed before: one pass over the key column
+        prior_versions = store.versions("stg_orders", prior, keys).persist()
+        updated = prior_versions.count()
         record("MERGE_STG_ORDERS", merged)
 
         ctx["step"] = "DELETE_STG_ORDER_ITEMS"
-        deleted = store.current_children("stg_order_items", prior, keys).count()
+        deleted = store.children_of("stg_order_items", prior_versions, prior, updated).count()
         record("DELETE_STG_ORDER_ITEMS", deleted)
 
         ctx["step"] = "INSERT_STG_ORDER_ITEMS"
@@ -113,7 +115,8 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
         n = _write_counted(store, "fact_orders", stage2.fact_orders_source(tmp_orders), batch_id)
         record("MERGE_FACT_ORDERS", n)
         ctx["step"] = "DELETE_FACT_ORDER_ITEMS"
-        n = store.current_children("fact_order_items", prior, tmp_orders.select("order_id")).count()
+        # fact orders are written in the same batches as staged orders, so the versions are shared
+        n = store.children_of("fact_order_items", prior_versions, prior, updated).count()
         record("DELETE_FACT_ORDER_ITEMS", n)
         ctx["step"] = "INSERT_FACT_ORDER_ITEMS"
         n = _write_counted(store, "fact_order_items", stage2.fact_items_source(tmp_items), batch_id)
@@ -128,8 +131,9 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
         store.append_audit(_stamp(audit), batch_id)
         raise
     finally:
-        if latest is not None:
-            latest.unpersist()
+        for df in (latest, prior_versions):
+            if df is not None:
+                df.unpersist()
         landing.unpersist()
     return {"batch_id": batch_id, "skipped": False, **counts, "seconds": timings}
 

@@ -133,7 +133,14 @@ class Store:
     def current_children(self, table: str, upto: int | None = None, keys: DataFrame | None = None) -> DataFrame:
         """Item rows of each order's latest version (optionally only for ``keys``)."""
         parent = CHILDREN[table]
-        v = self.versions(parent, upto, keys)
+        return self.children_of(table, self.versions(parent, upto, keys), upto)
+
+    def children_of(self, table: str, versions: DataFrame, upto: int | None = None,
+                    versions_rows: int | None = None) -> DataFrame:
+        """Item rows matching ``(order_id, batch_id)`` versions (a semi join; AQE splits hot orders)."""
+        from starling.operators.joins import bounded_broadcast
+
+        v = bounded_broadcast(versions.select("order_id", BATCH), versions_rows)
         return self.log(table, upto).join(v, ["order_id", BATCH], "left_semi")
 
     def audit(self) -> DataFrame:
