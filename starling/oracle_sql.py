@@ -205,6 +205,8 @@ GROUP BY 1, 2, 3"""
 # ---------------------------------------------------------------- stored state
 
 ORACLE["incremental_equals_batch"] = ORACLE["fact_order_items"]
+ORACLE["store_change_feed"] = ORACLE["net_changes_orders"]
+ORACLE["store_item_changes"] = ORACLE["net_changes_items"]
 ORACLE["reset_and_replay"] = ORACLE["fact_orders"]
 ORACLE["compacted_read"] = ORACLE["stg_items_replace"]
 ORACLE["stream_pipeline"] = ORACLE["fact_order_items"]

@@ -232,6 +232,20 @@ def _stored_two_batches(spark, sf_dir) -> Store:
     return st
 
 
+def q_store_change_feed(spark, sf_dir):
+    """Change rows of staged orders between the two committed batches, read from the store."""
+    st = _stored_two_batches(spark, sf_dir)
+    cols = [c for c in ORDER_COLS if c != "order_id"]
+    ch = st.changes("stg_orders", after=0, upto=1, cols=cols)
+    return ch.select("order_id", "status", "loyalty_tier", "file_name", "_action", "_is_update")
+
+
+def q_store_item_changes(spark, sf_dir):
+    st = _stored_two_batches(spark, sf_dir)
+    cols = ["order_id", "order_date", "product_id", "category", "quantity", "unit_price"]
+    return st.changes("stg_order_items", after=0, upto=1, cols=cols)
+
+
 def q_incremental_equals_batch(spark, sf_dir):
     """Four dated loads then the status update, batch by batch through the stored state."""
     st = _store(spark, "dated")
@@ -314,6 +328,8 @@ def q_file_listing(spark, sf_dir):
 
 
 QUERIES.update({
+    "store_change_feed": q_store_change_feed,
+    "store_item_changes": q_store_item_changes,
     "incremental_equals_batch": q_incremental_equals_batch,
     "layer_counts": q_layer_counts,
     "audit_steps": q_audit_steps,

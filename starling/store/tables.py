@@ -143,6 +143,30 @@ class Store:
         v = bounded_broadcast(versions.select("order_id", BATCH), versions_rows)
         return self.log(table, upto).join(v, ["order_id", BATCH], "left_semi")
 
+    def changes(self, table: str, after: int, upto: int | None = None,
+                cols: list[str] | None = None) -> DataFrame:
+        """Change rows of ``table`` between the committed states at ``after`` and ``upto``.
+
+        Keyed tables give DELETE/INSERT images with ``_is_update``; item tables give the
+        multiset difference. Only keys touched by batches in ``(after, upto]`` are compared,
+        so the cost follows the change volume, not the table size.
+        """
+        from starling.operators.changes import multiset_changes, net_changes
+
+        upto = self.last_commit() if upto is None else upto
+        touched_parent = CHILDREN.get(table, table)
+        key = KEYS.get(touched_parent, "order_id")
+        touched = self.log(touched_parent, upto, after=after).select(key).distinct()
+        if table in CHILDREN:
+            before = self.children_of(table, self.versions(touched_parent, after, touched), after)
+            now = self.children_of(table, self.versions(touched_parent, upto, touched), upto)
+            cols = cols or [c for c in self.schemas[table].fieldNames() if c not in ("updated_at", "updated_at_ltz")]
+            return multiset_changes(before, now, cols)
+        before = self.current(table, after).join(touched, key, "left_semi")
+        now = self.current(table, upto).join(touched, key, "left_semi")
+        cols = cols or [c for c in self.schemas[table].fieldNames() if c not in (key, "updated_at", "updated_at_ltz")]
+        return net_changes(before, now, [key], cols)
+
     def audit(self) -> DataFrame:
         return self.spark.read.schema(_with_batch(S.PIPELINE_AUDIT)).parquet(self.path("pipeline_audit"))
 
