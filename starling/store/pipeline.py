@@ -6,7 +6,11 @@ loads call directly. Order of work for batch N:
 1. ``begin``: drop partial output of an earlier failed attempt of N;
 2. stage 1 (raw -> staged), stage 2 (staged -> curated), each step's affected
    row count taken from the write itself (``Observation``) or from a small
-   join against the batch's keys;
+   join against the batch's keys. Work runs in three phases so no table is
+   ever read while it is being written: (A) counts over the committed state,
+   (B) the staged writes, (C) the curated writes; inside a phase the jobs are
+   independent and run concurrently with ``concurrent=True``. Audit rows are
+   recorded in step order;
 3. the batch's audit rows, one append;
 4. the commit row, last. A batch already committed is skipped (a replayed
    epoch after a crash between our commit and the stream's own commit).
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -34,6 +39,32 @@ class InjectedFailure(RuntimeError):
     pass
 
 
+def _parallel(ctx: dict, tasks: dict) -> dict:
+    """Run independent steps, as concurrent Spark jobs when ``ctx["concurrent"]``; re-raise the first failure.
+
+    Concurrency pays off when a batch is too small to occupy the cluster; in local mode the big
+    jobs already use every core, so steps run one after the other by default. On failure
+    ``ctx["step"]`` names the step that failed, for the FAILED audit row.
+    """
+    out, errors = {}, []
+    if not ctx.get("concurrent"):
+        for name, fn in tasks.items():
+            ctx["step"] = name
+            out[name] = fn()
+        return out
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        for name, fut in futures.items():
+            try:
+                out[name] = fut.result()
+            except Exception as e:  # keep the first failure in step order
+                errors.append((name, e))
+    if errors:
+        ctx["step"] = errors[0][0]
+        raise errors[0][1]
+    return out
+
+
 def _write_counted(store: Store, table: str, df: DataFrame, batch_id: int) -> int:
     obs = Observation(f"{table}_{batch_id}_{uuid.uuid4().hex[:6]}")
     store.write(table, df.observe(obs, F.count(F.lit(1)).alias("n")), batch_id)
@@ -41,7 +72,8 @@ def _write_counted(store: Store, table: str, df: DataFrame, batch_id: int) -> in
 
 
 def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | None = None,
-              strict: bool = True, strict_dims: bool = False, fail_after: str | None = None) -> dict:
+              strict: bool = True, strict_dims: bool = False, fail_after: str | None = None,
+              concurrent: bool = False) -> dict:
     spark = store.spark
     if batch_id <= store.last_commit():
         return {"batch_id": batch_id, "skipped": True}
@@ -54,7 +86,8 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
     counts: dict[str, int] = {}
     timings: dict[str, float] = {}
     clock = [time.perf_counter()]
-    ctx = {"file_name": None, "file_count": 0, "step": None, "procedure": S.STAGE1_PROCEDURE}
+    ctx = {"file_name": None, "file_count": 0, "step": None, "procedure": S.STAGE1_PROCEDURE,
+           "concurrent": concurrent}
 
     def record(step: str, rows: int | None, status: str = "SUCCESS", error: str | None = None):
         audit.append((None, ctx["file_name"], ctx["procedure"], step, None, rows, status, error, query_id,
@@ -73,27 +106,42 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
         ctx["step"] = "STREAM_READ_CREATE_TMP"
         latest = stage1.latest_orders(landing, strict, money).persist()
         st = latest.agg(F.count(F.lit(1)).alias("n"), F.max("file_name").alias("f"),
-                        F.count_distinct("file_name").alias("fc")).first()
+                        F.count_distinct("file_name").alias("fc"),
+                        F.min("order_id").alias("lo"), F.max("order_id").alias("hi")).first()
         ctx["file_name"], ctx["file_count"] = st["f"], int(st["fc"])
-        n_latest = int(st["n"])
-        _write_counted(store, "rejects", stage1.rejected_rows(landing, strict, money), batch_id)
-        record("STREAM_READ_CREATE_TMP", n_latest)
-
-        ctx["step"] = "MERGE_STG_ORDERS"
+        key_range = (st["lo"], st["hi"])
         prior = store.last_commit()
         keys = latest.select("order_id")
-        merged = _write_counted(store, "stg_orders", stage1.staged_orders(latest, money, strict), batch_id)
         # committed version of every order of the batch that existed before: one pass over the key column
-        prior_versions = store.versions("stg_orders", prior, keys).persist()
+        prior_versions = store.versions("stg_orders", prior, keys, key_range).persist()
         updated = prior_versions.count()
-        record("MERGE_STG_ORDERS", merged)
 
+        # phase A, reads of committed state only (batch_id <= prior): nothing is being written to them
+        out_a = _parallel(ctx, {
+            "DELETE_STG_ORDER_ITEMS": lambda: store.children_of(
+                "stg_order_items", prior_versions, prior, updated, key_range).count(),
+            # fact orders are written in the same batches as staged orders, so the versions are shared
+            "DELETE_FACT_ORDER_ITEMS": lambda: store.children_of(
+                "fact_order_items", prior_versions, prior, updated, key_range).count(),
+        })
+        deleted = out_a["DELETE_STG_ORDER_ITEMS"]
+
+        # phase B, the staged writes of this batch (distinct tables)
+        rejects = stage1.rejected_rows(landing, strict, money)
+        out_b = _parallel(ctx, {
+            "STREAM_READ_CREATE_TMP": lambda: _write_counted(store, "rejects", rejects, batch_id),
+            "MERGE_STG_ORDERS": lambda: _write_counted(store, "stg_orders",
+                                                       stage1.staged_orders(latest, money, strict), batch_id),
+            "INSERT_STG_ORDER_ITEMS": lambda: _write_counted(store, "stg_order_items",
+                                                             stage1.staged_items(latest, money, strict), batch_id),
+        })
+        merged, inserted = out_b["MERGE_STG_ORDERS"], out_b["INSERT_STG_ORDER_ITEMS"]
+        record("STREAM_READ_CREATE_TMP", int(st["n"]))
+        ctx["step"] = "MERGE_STG_ORDERS"
+        record("MERGE_STG_ORDERS", merged)
         ctx["step"] = "DELETE_STG_ORDER_ITEMS"
-        deleted = store.children_of("stg_order_items", prior_versions, prior, updated).count()
         record("DELETE_STG_ORDER_ITEMS", deleted)
-
         ctx["step"] = "INSERT_STG_ORDER_ITEMS"
-        inserted = _write_counted(store, "stg_order_items", stage1.staged_items(latest, money, strict), batch_id)
         record("INSERT_STG_ORDER_ITEMS", inserted)
 
         # ------------------------------------------------ stage 2 (I10), same batch
@@ -105,22 +153,21 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
         ctx["step"] = "STREAM_READ_ORDER_ITEMS"
         record("STREAM_READ_ORDER_ITEMS", deleted + inserted)   # delete images + insert images
 
-        ctx["step"] = "MERGE_DIM_CUSTOMER"
-        n = _write_counted(store, "dim_customer", stage2.dim_customer_source(tmp_orders, strict_dims), batch_id)
-        record("MERGE_DIM_CUSTOMER", n)
-        ctx["step"] = "MERGE_DIM_PRODUCT"
-        n = _write_counted(store, "dim_product", stage2.dim_product_source(tmp_items, strict_dims), batch_id)
-        record("MERGE_DIM_PRODUCT", n)
-        ctx["step"] = "MERGE_FACT_ORDERS"
-        n = _write_counted(store, "fact_orders", stage2.fact_orders_source(tmp_orders), batch_id)
-        record("MERGE_FACT_ORDERS", n)
-        ctx["step"] = "DELETE_FACT_ORDER_ITEMS"
-        # fact orders are written in the same batches as staged orders, so the versions are shared
-        n = store.children_of("fact_order_items", prior_versions, prior, updated).count()
-        record("DELETE_FACT_ORDER_ITEMS", n)
-        ctx["step"] = "INSERT_FACT_ORDER_ITEMS"
-        n = _write_counted(store, "fact_order_items", stage2.fact_items_source(tmp_items), batch_id)
-        record("INSERT_FACT_ORDER_ITEMS", n)
+        # phase C, the curated writes of this batch (distinct tables, reading the staged batch)
+        out_c = _parallel(ctx, {
+            "MERGE_DIM_CUSTOMER": lambda: _write_counted(
+                store, "dim_customer", stage2.dim_customer_source(tmp_orders, strict_dims), batch_id),
+            "MERGE_DIM_PRODUCT": lambda: _write_counted(
+                store, "dim_product", stage2.dim_product_source(tmp_items, strict_dims), batch_id),
+            "MERGE_FACT_ORDERS": lambda: _write_counted(
+                store, "fact_orders", stage2.fact_orders_source(tmp_orders), batch_id),
+            "INSERT_FACT_ORDER_ITEMS": lambda: _write_counted(
+                store, "fact_order_items", stage2.fact_items_source(tmp_items), batch_id),
+        })
+        out_c["DELETE_FACT_ORDER_ITEMS"] = out_a["DELETE_FACT_ORDER_ITEMS"]
+        for step in S.STAGE2_STEPS[2:]:
+            ctx["step"] = step
+            record(step, out_c[step])
 
         store.append_audit(_stamp(audit), batch_id)
         store.commit(batch_id, query_id, ctx["file_count"])

@@ -39,6 +39,12 @@ STATE_TABLES = ["stg_orders", "stg_order_items", "dim_customer", "dim_product",
                 "fact_order_items", "rejects"]
 
 
+def _in_range(df: DataFrame, key_range: tuple | None, key: str = "order_id") -> DataFrame:
+    if key_range is None or key_range[0] is None:
+        return df
+    return df.where(F.col(key).between(F.lit(key_range[0]).cast(S.NUMBER), F.lit(key_range[1]).cast(S.NUMBER)))
+
+
 def _with_batch(schema: T.StructType, data_col: bool = False) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(BATCH, T.LongType(), not data_col)])
 
@@ -123,9 +129,14 @@ class Store:
         key = KEYS[table]
         return latest_per_key(self.log(table, upto), [key], [F.col(BATCH).desc()])
 
-    def versions(self, parent: str, upto: int | None = None, keys: DataFrame | None = None) -> DataFrame:
-        """Latest batch per parent key ``(order_id, batch_id)``; optionally only for ``keys``."""
-        log = self.log(parent, upto).select("order_id", BATCH)
+    def versions(self, parent: str, upto: int | None = None, keys: DataFrame | None = None,
+                 key_range: tuple | None = None) -> DataFrame:
+        """Latest batch per parent key ``(order_id, batch_id)``; optionally only for ``keys``.
+
+        ``key_range = (lo, hi)`` (the keys' min and max) is pushed to the Parquet scan, so files
+        and row groups whose ``order_id`` statistics lie outside it are skipped.
+        """
+        log = _in_range(self.log(parent, upto).select("order_id", BATCH), key_range)
         if keys is not None:
             log = log.join(keys.select("order_id"), "order_id", "left_semi")
         return log.groupBy("order_id").agg(F.max(BATCH).alias(BATCH))
@@ -136,12 +147,12 @@ class Store:
         return self.children_of(table, self.versions(parent, upto, keys), upto)
 
     def children_of(self, table: str, versions: DataFrame, upto: int | None = None,
-                    versions_rows: int | None = None) -> DataFrame:
+                    versions_rows: int | None = None, key_range: tuple | None = None) -> DataFrame:
         """Item rows matching ``(order_id, batch_id)`` versions (a semi join; AQE splits hot orders)."""
         from starling.operators.joins import bounded_broadcast
 
         v = bounded_broadcast(versions.select("order_id", BATCH), versions_rows)
-        return self.log(table, upto).join(v, ["order_id", BATCH], "left_semi")
+        return _in_range(self.log(table, upto), key_range).join(v, ["order_id", BATCH], "left_semi")
 
     def changes(self, table: str, after: int, upto: int | None = None,
                 cols: list[str] | None = None) -> DataFrame:
@@ -232,7 +243,8 @@ class Store:
         for t in list(KEYS) + list(CHILDREN):
             key = KEYS.get(t, "order_id")
             cur = self.current(t, upto)
-            (cur.repartition(key).sortWithinPartitions(key)
+            # range partitioning: each base file covers its own key range, so key filters skip files
+            (cur.repartitionByRange(key).sortWithinPartitions(key)
              .write.mode("overwrite").parquet(f"{base}/{t}"))
         # the mark is written last: readers switch to the base only once it is complete
         self.spark.createDataFrame([(upto,)], "v long").write.mode("append").parquet(f"{self.root}/_base_marks")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +15,7 @@ def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """One row per reported micro-batch (small driver-side metadata, not data)."""
     rows = []
     for p in query.recentProgress:
-        d = p if isinstance(p, dict) else p.json and __import__("json").loads(p.json)
+        d = p if isinstance(p, dict) else json.loads(p.json)
         rows.append((d.get("name"), d.get("runId"), d.get("batchId"), d.get("timestamp"), d.get("numInputRows"),
                      float(d.get("inputRowsPerSecond") or 0.0), float(d.get("processedRowsPerSecond") or 0.0),
                      int((d.get("durationMs") or {}).get("triggerExecution", 0))))

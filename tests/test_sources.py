@@ -81,3 +81,12 @@ def test_written_landing_folders_keep_file_names(spark, tmp_root):
     jf.write_json_array_files(files, out)
     got = jf.landing_rows(jf.read_files(spark, out)).select("file_name", "row_number").collect()
     assert [tuple(r) for r in got] == [("x/orders_1.json", 1)]
+
+
+def test_one_shot_load_and_adhoc_query(spark, tmp_root):
+    src = write_files(os.path.join(tmp_root, "in"), {"a.json": [order_doc(1), order_doc(2)]})
+    landing = os.path.join(tmp_root, "landing")
+    assert jf.load_once(spark, src, landing).count() == 2
+    assert jf.load_once(spark, src, landing).count() == 4          # plain append, like COPY without history
+    q = jf.query_files(spark, src).select(F.variant_get("payload", "$.order_id", "int").alias("o"))
+    assert sorted(r["o"] for r in q.collect()) == [1, 2]
