@@ -99,7 +99,8 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
         if status == "SUCCESS" and fail_after == step:
             raise InjectedFailure(f"injected failure after {step}")
 
-    landing = landing.persist()
+    # the landing batch is a Parquet read (landing table or its stream), cheap to scan twice; only
+    # ``latest`` (after the shuffle of the latest-version window) is cached for its four consumers
     latest = prior_versions = None
     try:
         # ------------------------------------------------ stage 1
@@ -181,7 +182,6 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
         for df in (latest, prior_versions):
             if df is not None:
                 df.unpersist()
-        landing.unpersist()
     return {"batch_id": batch_id, "skipped": False, **counts, "seconds": timings}
 
 
