@@ -24,9 +24,12 @@ LOCAL_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "starling",
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8, app: str = "starling",
                   extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """A session for tests, the bench and the command line; ``master=None`` keeps the submitter's master."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
