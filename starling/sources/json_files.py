@@ -49,26 +49,34 @@ def parse_json_arrays(files: DataFrame, strict: bool = False) -> DataFrame:
     """
     opts = {"mode": "FAILFAST"} if strict else {}
     arr = F.from_json(F.col("value"), "array<variant>", opts)
-    one = F.try_parse_json(F.col("value"))
-    docs = (F.when(F.col("_arr").isNotNull(), F.col("_arr"))
-            .when(F.schema_of_variant(F.col("_one")).startswith("OBJECT"), F.array(F.col("_one"))))
     staged = files.select("file_name", "value", arr.alias("_arr"))
-    staged = staged.select("file_name", "value", "_arr",
-                           F.when(F.col("_arr").isNull(), one).alias("_one"))
-    exploded = staged.select(
-        "file_name", "value", F.col("_arr").isNull().alias("_not_array"), F.col("_one").isNull().alias("_bad"),
-        F.posexplode_outer(docs).alias("_pos", "payload"))
+    # everything derived from the whole text is settled before the generator, so the text itself
+    # (one file) is never copied into each exploded row: only ``_raw`` crosses it, NULL for good files
+    staged = staged.select(
+        "file_name", "_arr",
+        F.when(F.col("_arr").isNull(), F.try_parse_json(F.col("value"))).alias("_one"),
+        F.when(F.col("_arr").isNull(), F.col("value")).alias("_raw"))
+    is_object = F.schema_of_variant(F.col("_one")).startswith("OBJECT")
+    docs = F.when(F.col("_arr").isNotNull(), F.col("_arr")).when(is_object, F.array(F.col("_one")))
+    reason_if_not_docs = (F.when(F.col("_arr").isNotNull(), F.lit(None).cast("string"))
+                          .when(F.col("_one").isNull(), F.lit(REASON_MALFORMED))
+                          .when(~is_object, F.lit(REASON_NOT_DOCUMENT)))
+    per_file = staged.select(
+        "file_name", F.when(~is_object | F.col("_one").isNull(), F.col("_raw")).alias("_raw"),
+        reason_if_not_docs.alias("_file_reason"), docs.alias("_docs"))
+    exploded = per_file.select("file_name", "_raw", "_file_reason",
+                               F.posexplode_outer("_docs").alias("_pos", "payload"))
     # posexplode_outer of an empty array gives one all-NULL row: an empty file, not a reject.
-    kept = exploded.where(F.col("_pos").isNotNull() | F.col("_not_array"))
-    reason = (F.when(F.col("_pos").isNull() & F.col("_bad"), F.lit(REASON_MALFORMED))
-              .when(F.col("_pos").isNull(), F.lit(REASON_NOT_DOCUMENT))
-              .when(F.col("payload").isNull() | F.is_variant_null(F.col("payload")), F.lit(REASON_NULL_DOCUMENT)))
+    kept = exploded.where(F.col("_pos").isNotNull() | F.col("_file_reason").isNotNull())
+    reason = F.coalesce(F.col("_file_reason"),
+                        F.when(F.col("payload").isNull() | F.is_variant_null(F.col("payload")),
+                               F.lit(REASON_NULL_DOCUMENT)))
     return kept.select(
         "file_name",
         F.coalesce(F.col("_pos") + 1, F.lit(0)).cast("bigint").alias("row_number"),
         F.col("payload"),
         reason.alias("reject_reason"),
-        F.when(F.col("_pos").isNull(), F.col("value")).alias("raw"),
+        F.when(F.col("_pos").isNull(), F.col("_raw")).alias("raw"),
     )
 
 

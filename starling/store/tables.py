@@ -218,6 +218,10 @@ class Store:
         cols = [f.name for f in self.schemas[table].fields]
         out = df.select(*[F.col(c).cast(self.schemas[table][c].dataType) for c in cols],
                         F.lit(batch_id).cast("long").alias(BATCH))
+        key = KEYS.get(table) or ("order_id" if table in CHILDREN else None)
+        if key is not None:
+            # key-sorted files: tight row-group min/max, so key-range filters skip row groups
+            out = out.sortWithinPartitions(BATCH, key)   # batch_id first: satisfies the writer's ordering
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH).parquet(self.path(table)))
 
