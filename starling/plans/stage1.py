@@ -20,6 +20,11 @@ REASON_NULL_KEY = "order_id is null"
 REASON_BAD_VALUE = "value does not cast"
 
 
+def with_key(landing: DataFrame, strict: bool = True) -> DataFrame:
+    """Landing rows with ``order_id`` extracted (NULL for rows that carry a reject reason)."""
+    return _with_key(landing, strict)
+
+
 def _with_key(landing: DataFrame, strict: bool) -> DataFrame:
     return landing.withColumn("order_id", F.when(F.col("reject_reason").isNull(), order_id("payload", strict)))
 
@@ -39,12 +44,18 @@ def latest_orders(landing: DataFrame, strict: bool = True, money="number") -> Da
                          F.col("load_ts").alias("ingested_at_ltz"))
 
 
-def rejected_rows(landing: DataFrame, strict: bool = True, money="number") -> DataFrame:
-    """Landing rows that cannot become staged rows, with the reason (rejects table)."""
-    docs = _with_key(landing, strict)
+def reject_reason(strict: bool = True, money="number") -> Column:
+    """Why a landing row cannot become a staged row (NULL when it can); needs ``order_id``."""
     reason = F.coalesce(F.col("reject_reason"), F.when(F.col("order_id").isNull(), F.lit(REASON_NULL_KEY)))
     if not strict:
         reason = F.coalesce(reason, F.when(bad_cast_flag("payload", money), F.lit(REASON_BAD_VALUE)))
+    return reason
+
+
+def rejected_rows(landing: DataFrame, strict: bool = True, money="number") -> DataFrame:
+    """Landing rows that cannot become staged rows, with the reason (rejects table)."""
+    docs = _with_key(landing, strict)
+    reason = reject_reason(strict, money)
     raw = F.coalesce(F.col("raw"), F.to_json(F.col("payload")))
     return (docs.withColumn("reason", reason).where(F.col("reason").isNotNull())
             .select("file_name", "row_number", "reason", raw.alias("raw"), "load_ts"))

@@ -9,8 +9,9 @@ loads call directly. Order of work for batch N:
    join against the batch's keys. Work runs in three phases so no table is
    ever read while it is being written: (A) counts over the committed state,
    (B) the staged writes, (C) the curated writes; inside a phase the jobs are
-   independent and run concurrently with ``concurrent=True``. Audit rows are
-   recorded in step order;
+   independent and run concurrently (``concurrent=True``, or automatically
+   for batches of at most ``CONCURRENT_MAX_ROWS`` orders, which cannot keep
+   a cluster busy one job at a time). Audit rows are recorded in step order;
 3. the batch's audit rows, one append;
 4. the commit row, last. A batch already committed is skipped (a replayed
    epoch after a crash between our commit and the stream's own commit).
@@ -33,6 +34,8 @@ from starling.plans import stage1, stage2
 from starling.store.tables import Store
 
 _FAIL_FOR_TESTS = "starling.fail_after_step"
+# batches up to this many orders run their independent jobs concurrently (concurrent=None)
+CONCURRENT_MAX_ROWS = 1_000_000
 
 
 class InjectedFailure(RuntimeError):
@@ -73,7 +76,7 @@ def _write_counted(store: Store, table: str, df: DataFrame, batch_id: int) -> in
 
 def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | None = None,
               strict: bool = True, strict_dims: bool = False, fail_after: str | None = None,
-              concurrent: bool = False) -> dict:
+              concurrent: bool | None = None) -> dict:
     spark = store.spark
     if batch_id <= store.last_commit():
         return {"batch_id": batch_id, "skipped": True}
@@ -105,37 +108,48 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
     try:
         # ------------------------------------------------ stage 1
         ctx["step"] = "STREAM_READ_CREATE_TMP"
-        latest = stage1.latest_orders(landing, strict, money).persist()
+        # rejects are counted while the latest versions are computed (no extra pass)
+        rej_obs = Observation(f"rejects_{batch_id}_{uuid.uuid4().hex[:6]}")
+        keyed = stage1.with_key(landing, strict).observe(
+            rej_obs, F.count(stage1.reject_reason(strict, money)).alias("n"))
+        latest = stage1.latest_orders(keyed, strict, money).persist()
         st = latest.agg(F.count(F.lit(1)).alias("n"), F.max("file_name").alias("f"),
                         F.count_distinct("file_name").alias("fc"),
                         F.min("order_id").alias("lo"), F.max("order_id").alias("hi")).first()
         ctx["file_name"], ctx["file_count"] = st["f"], int(st["fc"])
         key_range = (st["lo"], st["hi"])
+        n_rejects = int(rej_obs.get.get("n", 0) or 0)
+        if concurrent is None:   # small batches leave the cluster idle between jobs: overlap them
+            ctx["concurrent"] = int(st["n"]) <= CONCURRENT_MAX_ROWS
         prior = store.last_commit()
         keys = latest.select("order_id")
         # committed version of every order of the batch that existed before: one pass over the key column
         prior_versions = store.versions("stg_orders", prior, keys, key_range).persist()
-        updated = prior_versions.count()
-
-        # phase A, reads of committed state only (batch_id <= prior): nothing is being written to them
-        out_a = _parallel(ctx, {
-            "DELETE_STG_ORDER_ITEMS": lambda: store.children_of(
-                "stg_order_items", prior_versions, prior, updated, key_range).count(),
-            # fact orders are written in the same batches as staged orders, so the versions are shared
-            "DELETE_FACT_ORDER_ITEMS": lambda: store.children_of(
-                "fact_order_items", prior_versions, prior, updated, key_range).count(),
-        })
-        deleted = out_a["DELETE_STG_ORDER_ITEMS"]
+
+        # phase A, reads of committed state only (batch_id <= prior), folded into one job: how many
+        # orders of the batch existed, and how many staged / fact items their current versions hold
+        def count_of(label, df):
+            return df.agg(F.lit(label).alias("k"), F.count(F.lit(1)).cast("bigint").alias("n"))
+
+        phase_a = (count_of("updated", prior_versions)
+                   .unionByName(count_of("stg", store.children_of("stg_order_items", prior_versions, prior,
+                                                                  key_range=key_range)))
+                   .unionByName(count_of("fact", store.children_of("fact_order_items", prior_versions, prior,
+                                                                   key_range=key_range))))
+        out_a = {r["k"]: int(r["n"]) for r in phase_a.collect()}     # three rows
+        updated, deleted = out_a["updated"], out_a["stg"]
 
         # phase B, the staged writes of this batch (distinct tables)
         rejects = stage1.rejected_rows(landing, strict, money)
-        out_b = _parallel(ctx, {
-            "STREAM_READ_CREATE_TMP": lambda: _write_counted(store, "rejects", rejects, batch_id),
+        writes_b = {
             "MERGE_STG_ORDERS": lambda: _write_counted(store, "stg_orders",
                                                        stage1.staged_orders(latest, money, strict), batch_id),
             "INSERT_STG_ORDER_ITEMS": lambda: _write_counted(store, "stg_order_items",
                                                              stage1.staged_items(latest, money, strict), batch_id),
-        })
+        }
+        if n_rejects:
+            writes_b["STREAM_READ_CREATE_TMP"] = lambda: _write_counted(store, "rejects", rejects, batch_id)
+        out_b = _parallel(ctx, writes_b)
         merged, inserted = out_b["MERGE_STG_ORDERS"], out_b["INSERT_STG_ORDER_ITEMS"]
         record("STREAM_READ_CREATE_TMP", int(st["n"]))
         ctx["step"] = "MERGE_STG_ORDERS"
@@ -165,7 +179,7 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | N
             "INSERT_FACT_ORDER_ITEMS": lambda: _write_counted(
                 store, "fact_order_items", stage2.fact_items_source(tmp_items), batch_id),
         })
-        out_c["DELETE_FACT_ORDER_ITEMS"] = out_a["DELETE_FACT_ORDER_ITEMS"]
+        out_c["DELETE_FACT_ORDER_ITEMS"] = out_a["fact"]
         for step in S.STAGE2_STEPS[2:]:
             ctx["step"] = step
             record(step, out_c[step])
