@@ -123,12 +123,49 @@ class Store:
         return self.spark.read.schema(schema).parquet(self.path(table)).where(F.col(BATCH) == batch_id)
 
     def current(self, table: str, upto: int | None = None) -> DataFrame:
-        """Current rows of a keyed table (latest version per key) or of a child table."""
+        """Current rows of a keyed table (latest version per key) or of a child table.
+
+        After a compaction the base already holds one current row per key, so only keys touched
+        by later batches (the tail) are replaced: ``base ANTI JOIN tail keys UNION latest(tail)``,
+        with the tail keys broadcast when their counted size is under the bound. The base is
+        scanned, never shuffled.
+        """
+        upto = self.last_commit() if upto is None else upto
+        base_v = self.base_version(upto)
+        if base_v is not None:
+            return self._current_from_base(table, base_v, upto)
         if table in CHILDREN:
             return self.current_children(table, upto=upto)
         key = KEYS[table]
         return latest_per_key(self.log(table, upto), [key], [F.col(BATCH).desc()])
 
+    def _base(self, table: str, base_v: int) -> DataFrame:
+        return self.spark.read.schema(_with_batch(self.schemas[table], True)).parquet(
+            f"{self.root}/_base/v={base_v}/{table}")
+
+    def _tail(self, table: str, base_v: int, upto: int) -> DataFrame:
+        df = self.spark.read.schema(_with_batch(self.schemas[table])).parquet(self.path(table))
+        return df.where((F.col(BATCH) > base_v) & (F.col(BATCH) <= upto))
+
+    def _current_from_base(self, table: str, base_v: int, upto: int) -> DataFrame:
+        from starling.operators.joins import bounded_broadcast
+
+        parent = CHILDREN.get(table, table)
+        key = KEYS[parent]
+        ptail = self._tail(parent, base_v, upto)
+        n_tail = ptail.count() if upto > base_v else 0
+        if n_tail == 0:
+            return self._base(table, base_v)
+        if table in KEYS:
+            tail_keys = bounded_broadcast(ptail.select(key).distinct(), n_tail)
+            return (self._base(table, base_v).join(tail_keys, key, "left_anti")
+                    .unionByName(latest_per_key(ptail, [key], [F.col(BATCH).desc()])))
+        tail_versions = bounded_broadcast(
+            ptail.select("order_id", BATCH).groupBy("order_id").agg(F.max(BATCH).alias(BATCH)), n_tail)
+        untouched = self._base(table, base_v).join(tail_versions.select("order_id"), "order_id", "left_anti")
+        touched = self._tail(table, base_v, upto).join(tail_versions, ["order_id", BATCH], "left_semi")
+        return untouched.unionByName(touched)
+
     def versions(self, parent: str, upto: int | None = None, keys: DataFrame | None = None,
                  key_range: tuple | None = None) -> DataFrame:
         """Latest batch per parent key ``(order_id, batch_id)``; optionally only for ``keys``.

@@ -114,7 +114,10 @@ def test_compaction_keeps_state(spark, tmp_root):
     pipeline.load_batch(st, b2)
     ref = Store(spark, os.path.join(tmp_root, "r"))
     pipeline.run_batches(ref, [b1, b2])
+    assert state(st) == state(ref)            # base + tail read
+    st.compact()                              # second compaction builds on the first base
     assert state(st) == state(ref)
+    assert state(Store(spark, st.root)) == state(ref)   # a fresh reader of the same folder
 
 
 def test_reset_gives_empty_state(spark, tmp_root):
