@@ -45,9 +45,9 @@ class InjectedFailure(RuntimeError):
 def _parallel(ctx: dict, tasks: dict) -> dict:
     """Run independent steps, as concurrent Spark jobs when ``ctx["concurrent"]``; re-raise the first failure.
 
-    Concurrency pays off when a batch is too small to occupy the cluster; in local mode the big
-    jobs already use every core, so steps run one after the other by default. On failure
-    ``ctx["step"]`` names the step that failed, for the FAILED audit row.
+    Concurrency pays off when a batch is too small to occupy the cluster; a big batch's jobs
+    already use every core, so they run one after the other. On failure ``ctx["step"]`` names
+    the step that failed, for the FAILED audit row.
     """
     out, errors = {}, []
     if not ctx.get("concurrent"):
