@@ -77,7 +77,12 @@ def order_documents(t: Tables, *, orders_where: Column | None = None, lines_wher
     """
     o = t.orders if orders_where is None else t.orders.where(orders_where)
     li = t.lineitem if lines_where is None else t.lineitem.where(lines_where)
-    items = (li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    li = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    if orders_where is not None:
+        # lines of the selected orders only; the semi join shuffles on l_orderkey, which the
+        # grouping below and the join to orders reuse, so it adds no exchange
+        li = li.join(o.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    items = (li
              .join(t.part.select("p_partkey", "p_type", "p_retailprice"),
                    F.col("l_partkey") == F.col("p_partkey"), "left")
              .groupBy("l_orderkey")
