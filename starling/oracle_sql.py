@@ -205,6 +205,11 @@ GROUP BY 1, 2, 3"""
 # ---------------------------------------------------------------- stored state
 
 ORACLE["incremental_equals_batch"] = ORACLE["fact_order_items"]
+ORACLE["rejects_permissive"] = """
+SELECT 'staged' AS outcome, CAST(count(*) FILTER (WHERE o_orderpriority IS DISTINCT FROM '5-LOW') AS BIGINT) AS row_count
+FROM orders
+UNION ALL
+SELECT 'value does not cast', CAST(count(*) AS BIGINT) FROM orders WHERE o_orderpriority = '5-LOW'"""
 ORACLE["store_change_feed"] = ORACLE["net_changes_orders"]
 ORACLE["store_item_changes"] = ORACLE["net_changes_items"]
 ORACLE["reset_and_replay"] = ORACLE["fact_orders"]

@@ -37,6 +37,13 @@ def resend_documents(t: Tables, prefix: str = "b2/") -> DataFrame:
                            status=F.lit("F"), promote_tier=True, file_prefix=prefix)
 
 
+def with_text_amount(docs: DataFrame, where: Column, text: str = "n/a") -> DataFrame:
+    """Documents where ``where`` holds get ``payment.amount`` as a text value that does not cast
+    (a bad upstream value; permissive loads route such documents to rejects, D10)."""
+    bad = F.regexp_replace(F.col("doc"), r'"amount":-?[0-9.Ee+-]+', f'"amount":"{text}"')
+    return docs.withColumn("doc", F.when(where, bad).otherwise(F.col("doc")))
+
+
 def landing_of(docs: DataFrame, batch: int) -> DataFrame:
     """Documents -> array files -> parsed landing rows, as a load would produce."""
     return landing_rows(documents_to_files(docs), load_ts=load_ts_of(batch))

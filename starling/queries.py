@@ -258,6 +258,22 @@ def q_store_item_changes(spark, sf_dir):
     return st.changes("stg_order_items", after=0, upto=1, cols=cols)
 
 
+def q_rejects_permissive(spark, sf_dir):
+    """Low-priority orders arrive with an amount that does not cast; a permissive load keeps the
+    rest and routes those documents to rejects with a reason (D9, D10)."""
+    from starling.sources.documents import load_tables
+
+    t = load_tables(spark, sf_dir)
+    docs = scenario.with_text_amount(scenario.initial_documents(t), F.col("priority") == "5-LOW")
+    st = _store(spark, "permissive")
+    store_pipeline.load_batch(st, scenario.landing_of(docs, 1), strict=False)
+    staged = st.current("stg_orders").agg(F.lit("staged").alias("outcome"),
+                                          F.count(F.lit(1)).cast("bigint").alias("row_count"))
+    rejected = st.log("rejects").groupBy(F.col("reason").alias("outcome")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("row_count"))
+    return staged.unionByName(rejected)
+
+
 def q_incremental_equals_batch(spark, sf_dir):
     """Four dated loads then the status update, batch by batch through the stored state."""
     st = _store(spark, "dated")
@@ -340,6 +356,7 @@ def q_file_listing(spark, sf_dir):
 
 
 QUERIES.update({
+    "rejects_permissive": q_rejects_permissive,
     "store_change_feed": q_store_change_feed,
     "store_item_changes": q_store_item_changes,
     "incremental_equals_batch": q_incremental_equals_batch,

@@ -118,7 +118,8 @@ def order_documents(t: Tables, *, orders_where: Column | None = None, lines_wher
     return base.select(
         F.col("o_orderkey").alias("order_id"),
         file_name_of(F.col("o_orderdate"), F.col("o_orderkey"), file_prefix).alias("file_name"),
-        F.to_json(doc).alias("doc"))
+        F.to_json(doc).alias("doc"),
+        F.col("o_orderpriority").alias("priority"))
 
 
 def documents_to_files(docs: DataFrame) -> DataFrame:
