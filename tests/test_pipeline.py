@@ -137,3 +137,13 @@ def test_pure_stages_match_store(spark, tmp_root):
     cur = stage2.apply_stage2({}, stage1.staged_orders(stage1.latest_orders(b1)),
                               stage1.staged_items(stage1.latest_orders(b1)))
     assert cur["fact_order_items"].count() == 4
+
+
+def test_empty_batch_commits_with_zero_counts(spark, tmp_root):
+    b1, _ = batches(spark, tmp_root)
+    st = Store(spark, os.path.join(tmp_root, "e"))
+    pipeline.load_batch(st, b1)
+    before = state(st)
+    r = pipeline.load_batch(st, b1.limit(0))
+    assert r["STREAM_READ_CREATE_TMP"] == 0 and r["INSERT_FACT_ORDER_ITEMS"] == 0
+    assert st.last_commit() == 1 and state(st) == before
