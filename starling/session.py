@@ -55,12 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             d = None
     if not d:
         d = tempfile.mkdtemp(prefix="starling-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:
-        pass
+        try:
+            spark.sparkContext.setCheckpointDir(d)   # core config: set on the context, not spark.conf
+            d = spark.sparkContext.getCheckpointDir() or d
+        except Exception:
+            pass
+    else:
+        try:
+            if not spark.sparkContext.getCheckpointDir():
+                spark.sparkContext.setCheckpointDir(d)
+        except Exception:
+            pass
     return d.rstrip("/")
 
 
