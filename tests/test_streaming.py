@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import item, order_doc, write_files
 from starling.store.tables import Store
