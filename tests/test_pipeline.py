@@ -147,3 +147,20 @@ def test_empty_batch_commits_with_zero_counts(spark, tmp_root):
     r = pipeline.load_batch(st, b1.limit(0))
     assert r["STREAM_READ_CREATE_TMP"] == 0 and r["INSERT_FACT_ORDER_ITEMS"] == 0
     assert st.last_commit() == 1 and state(st) == before
+
+
+def test_strict_dims_fail_the_batch_on_conflicting_tiers(spark, tmp_root):
+    b = load(spark, os.path.join(tmp_root, "c"), {
+        "orders_08.json": [order_doc(1, customer_id=100, tier="GOLD", items=[item(1000)]),
+                           order_doc(2, customer_id=100, tier="SILVER", items=[item(1001)])],
+    }, 8)
+    st = Store(spark, os.path.join(tmp_root, "strict"))
+    from starling.operators.dims import ConflictingVersions
+    with pytest.raises(ConflictingVersions):
+        pipeline.load_batch(st, b, strict_dims=True)
+    assert st.last_commit() == -1
+    failed = st.audit().where("status = 'FAILED'").collect()
+    assert [r["stage_step"] for r in failed] == ["MERGE_DIM_CUSTOMER"]
+    ok = Store(spark, os.path.join(tmp_root, "lenient"))
+    pipeline.load_batch(ok, b)                     # default: latest version wins (order 2, SILVER)
+    assert [(int(r["customer_id"]), r["loyalty_tier"]) for r in ok.current("dim_customer").collect()] == [(100, "SILVER")]
