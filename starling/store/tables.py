@@ -210,8 +210,12 @@ class Store:
             now = self.children_of(table, self.versions(touched_parent, upto, touched), upto)
             cols = cols or [c for c in self.schemas[table].fieldNames() if c not in ("updated_at", "updated_at_ltz")]
             return multiset_changes(before, now, cols)
-        before = self.current(table, after).join(touched, key, "left_semi")
-        now = self.current(table, upto).join(touched, key, "left_semi")
+        # restrict to touched keys before the latest-version window: the shuffle sees only changed keys
+        def latest_of(upto_v: int) -> DataFrame:
+            rows = self.log(table, upto_v).join(touched, key, "left_semi")
+            return latest_per_key(rows, [key], [F.col(BATCH).desc()])
+
+        before, now = latest_of(after), latest_of(upto)
         cols = cols or [c for c in self.schemas[table].fieldNames() if c not in (key, "updated_at", "updated_at_ltz")]
         return net_changes(before, now, [key], cols)
 
