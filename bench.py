@@ -10,7 +10,8 @@ and prints one JSON line. Timed steps:
 * ``read_items_before_compaction`` / ``compact`` / ``read_items_after_compaction``: current fact items
   (aggregated) over the 3-batch log, the compaction job, and the same read from the base snapshot;
 * ``star_revenue``, ``stg_orders_upsert``, ``net_changes_items``: pure DataFrame queries;
-* ``stream_ingest``: the file-source stream from array files to the landing table.
+* ``stream_ingest`` / ``stream_transform``: the file-source stream from array files to the landing table, then
+  the landing stream through both stages (``foreachBatch``) into a second, empty state.
 
 Before the timings, both stages run once on the smallest test tables in a throwaway state (JIT/codegen
 warm-up, as a long-running job would be); per-step seconds of each timed batch are in ``steps``.
@@ -43,7 +44,7 @@ def main() -> None:
     from starling.store import pipeline
     from starling.store.tables import Store
     from starling.streaming.ingest import start_ingest
-    from starling.streaming.transform import run_until_drained
+    from starling.streaming.transform import run_until_drained, start_transform
 
     times: dict[str, float] = {}
 
@@ -97,6 +98,7 @@ def main() -> None:
     write_json_array_files(documents_to_files(scenario.initial_documents(t)), drop)
     st2 = Store(spark, shared_path(spark, "bench", "stream"))
     timed("stream_ingest", lambda: run_until_drained(start_ingest(spark, drop, st2, max_files_per_trigger=64)))
+    timed("stream_transform", lambda: run_until_drained(start_transform(spark, st2)))
 
     out = {
         "metric": "pipeline_total_sec",
