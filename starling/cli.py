@@ -29,10 +29,11 @@ def _run(spark, args) -> None:
         q1 = start_ingest(spark, args.source, st, args.max_files)
         run_until_drained(q1)
         record_progress(spark, q1, f"{st.root}/load_progress")
-        run_until_drained(start_transform(spark, st, strict=not args.permissive))
+        run_until_drained(start_transform(spark, st, strict=not args.permissive, compact_every=args.compact_every))
         return
     q1 = start_ingest(spark, args.source, st, args.max_files, available_now=False, processing_time=args.every)
-    q2 = start_transform(spark, st, available_now=False, processing_time=args.every, strict=not args.permissive)
+    q2 = start_transform(spark, st, available_now=False, processing_time=args.every, strict=not args.permissive,
+                         compact_every=args.compact_every)
     spark.streams.awaitAnyTermination()
     for q in (q1, q2):
         if q.exception() is not None:
@@ -70,6 +71,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--money", default="number", choices=["number", "cents"])
     p.add_argument("--permissive", action="store_true")
     p.add_argument("--hours", type=int, default=48)
+    p.add_argument("--compact-every", type=int, default=None, help="compact after every N-th batch")
     p.add_argument("--master", default=None)
     args = p.parse_args(argv)
     spark = build_session(master=args.master)

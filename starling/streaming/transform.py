@@ -20,7 +20,10 @@ from starling.store.tables import Store
 
 def start_transform(spark: SparkSession, store: Store, max_files_per_trigger: int | None = None,
                     available_now: bool = True, processing_time: str | None = None,
-                    strict: bool = True, name: str | None = None) -> StreamingQuery:
+                    strict: bool = True, name: str | None = None,
+                    compact_every: int | None = None) -> StreamingQuery:
+    """Start query 2. ``compact_every=N`` compacts the state after every N-th committed batch,
+    inside ``foreachBatch`` (so it never runs next to a batch's own writes)."""
     reader = spark.readStream.schema(S.LANDING)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -30,7 +33,9 @@ def start_transform(spark: SparkSession, store: Store, max_files_per_trigger: in
     def each(df: DataFrame, epoch_id: int) -> None:
         q = holder.get("q")
         qid = f"{q.runId}:{epoch_id}" if q is not None else f"epoch:{epoch_id}"
-        run_batch(store, df, int(epoch_id), query_id=qid, strict=strict)
+        out = run_batch(store, df, int(epoch_id), query_id=qid, strict=strict)
+        if compact_every and not out.get("skipped") and (int(epoch_id) + 1) % compact_every == 0:
+            store.compact()
 
     w = src.writeStream.foreachBatch(each).option("checkpointLocation", store.checkpoint("transform"))
     if name:

@@ -26,7 +26,8 @@ def test_files_to_curated_through_two_streams(spark, tmp_root):
     # a later file re-sends order 2 with other items; a rerun with no new file does nothing
     write_files(drop, {"orders_20260201_11.json": [order_doc(2, status="SHIPPED", items=[item(1003, 1, 7.0)])]})
     run_until_drained(start_ingest(spark, drop, st))
-    run_until_drained(start_transform(spark, st))
+    run_until_drained(start_transform(spark, st, compact_every=1))       # compaction inside the stream
+    assert st.base_version(st.last_commit()) == st.last_commit()
     commits = st.last_commit()
     run_until_drained(start_ingest(spark, drop, st))
     run_until_drained(start_transform(spark, st))
