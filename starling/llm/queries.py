@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import line_dedup, secrets, url_filter, warc
+from starling.llm import (decontaminate, kn_quality, line_dedup, minhash, near_vectors, packing, secrets, toxicity,
+                          url_filter, warc)
 from starling.llm.common import scratch
 
 
@@ -13,6 +14,18 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
+def op3_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_read(spark, sf_dir, "documents"), width=3, numerator=85, denominator=100)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_read(spark, sf_dir, "documents")))
 
@@ -28,16 +41,36 @@ def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.describe(warc.read_archive(spark, path))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    return toxicity.rate(documents, toxicity.train(documents, _read(spark, sf_dir, "labels")))
+
+
 def op8_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_boilerplate(_read(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_removed", "n_left")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.find_contamination(
+        _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), window=10, slop=2))
+
+
+def op10_kn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kn_quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).drop("version")
+
+
 QUERIES = {
+    "op1_near_vectors": op1_near_vectors,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_hyperminhash": op3_hyperminhash,
     "op4_secret_scan": op4_secret_scan,
     "op5_url_filter": op5_url_filter,
     "op6_warc_archive": op6_warc_archive,
+    "op7_toxicity": op7_toxicity,
     "op8_line_spread": op8_line_spread,
+    "op9_decontamination": op9_decontamination,
+    "op10_kn_quality": op10_kn_quality,
 }
 
 
@@ -49,6 +82,19 @@ _STRICT = " + ".join(f"{_term(t)}::int" for t in url_filter.STRICT)
 _SOFT = " + ".join(f"{_term(t)}::int" for t in url_filter.SOFT)
 
 ORACLE = {
+    "op1_near_vectors": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding::DOUBLE[], lambda x: x <> 0)) > 0),
+        links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+                  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+        reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+        n AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+        c AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
+        FROM embeddings JOIN c ON vec_id = c.x LEFT JOIN n ON vec_id = n.x""",
     "op5_url_filter": f"""
         WITH u AS (
             SELECT page_id, coalesce(url, '') AS url,
