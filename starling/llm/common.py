@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.session import ensure_checkpoint_dir
 
+# Distinct edges that one task may hold to find their components; more are solved by rounds of joins.
+LOCAL_EDGES = 500_000
+
 # A side of at most this many rows of a few dozen bytes may be broadcast; the count is taken first.
 BROADCAST_MAX_ROWS = 1_000_000
 
@@ -39,17 +44,49 @@ def binary_values(column: pa.Array | pa.ChunkedArray) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least index reachable from each of ``n`` points over the links ``a, b``."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _local_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    high, low, kind = [], [], None
+    for batch in batches:
+        kind = batch.column("hi").type
+        high += batch.column("hi").to_pylist()
+        low += batch.column("lo").to_pylist()
+    if high:
+        nodes = sorted({*high, *low})
+        index = {v: i for i, v in enumerate(nodes)}
+        label = least_reachable(len(nodes), np.array([index[v] for v in high]), np.array([index[v] for v in low]))
+        names = pa.array(nodes, kind)
+        yield pa.RecordBatch.from_arrays([names, names.take(pa.array(label))], names=["node", "component"])
+
+
+def connected_components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """Components of the undirected graph of ``edges(src, dst)`` as ``(node, component)``.
 
     ``component`` is the least node of the component. Nodes without an edge to another node are absent; null ends are
-    ignored. Alternates large-star and small-star steps (each an aggregation of minima, which combines before the
+    ignored. Up to ``local_edges`` distinct edges (counted) are solved in one task; more by rounds that give the same result:
+    they alternate large-star and small-star steps (each an aggregation of minima, which combines before the
     shuffle, and an equi-join, whose hot keys AQE splits) until the edges no longer change; every round is written to
     the shared folder and only its count and checksum reach the driver.
     """
     pairs = edges.where("src is not null and dst is not null and src <> dst").select(
         F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
     current = table(pairs.distinct(), "edges")
+    if current.count() <= local_edges:
+        kind = current.schema["hi"].dataType.simpleString()
+        return table(current.coalesce(1).mapInArrow(_local_components, f"node {kind}, component {kind}"), "components")
     seen = None
     while True:
         both = current.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(

@@ -8,20 +8,19 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starling.llm.common import binary_values, connected_components, small_side, table
 
-REGISTERS = 128                 # a power of two: the top bits of a shingle's hash choose its register
+REGISTERS = 256                 # a power of two: the top bits of a shingle's hash choose its register
 ZERO_BITS, MANTISSA_BITS = 6, 10
 EMPTY = 0xFFFF
-BANDS, ROWS = 25, 5             # a pair of Jaccard 0.85 misses all bands with probability 4e-7
-ESTIMATE_SIGMAS = 5.0
-LEADERS = 8                     # outsiders of a bucket that lead in one round; the number doubles every round
-MEMO_WORDS = 500_000
+BANDS, ROWS = 36, 7             # a pair of Jaccard 0.85 misses all bands with probability 9e-7
+ESTIMATE_SIGMAS = 4.5
+OUTSIDERS = 256                 # members of a bucket that are compared with all others in one round
+CHUNK = 1 << 20                 # bytes of text hashed at once
 
 _U = np.uint64
 # Odd 64-bit multipliers: odd multiples of the golden ratio's.
@@ -35,30 +34,69 @@ def _scramble(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(32))
 
 
-class WordHashes(dict):
-    """64-bit hash per word, remembered."""
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTES = np.random.default_rng(8191).integers(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * _U(2) + _U(1)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
 
+class WordHashes:
+    """64-bit hashes of the words of a text: a polynomial over random byte values, modulo 2^64.
 
-def shingle_set(text: bytes | None, width: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles: words between ASCII white space, A-Z lower-cased.
+    With running sums of ``value * base^place``, a word's hash is the difference at its ends, brought back to place 0 by the
+    inverse power (the base is odd, so it has one). All words of a chunk are hashed at once.
+    """
+
+    def __init__(self):
+        self.powers = self.inverse = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if len(self.powers) < n:
+            base = int(_MIX[5])
+            for name, factor in (("powers", base), ("inverse", pow(base, -1, 1 << 64))):
+                steps = np.full(n, factor, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
+
+    def __call__(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(first byte, hash)`` of each word of ``text`` (bytes, words between white space)."""
+        space = np.concatenate([[True], _SPACE[text], [True]])
+        edge = np.flatnonzero(space[1:] != space[:-1])
+        starts, ends = edge[::2], edge[1::2]
+        self._grow(len(text) + 1)
+        sums = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum(_BYTES[text] * self.powers[:len(text)], out=sums[1:])
+        return starts, _scramble((sums[ends] - sums[starts]) * self.inverse[starts])
 
-    Fewer words than ``width`` make one shingle; no words make none.
+
+def shingle_sets(texts: list[bytes | None], width: int, hashes: WordHashes) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles: words between ASCII white space, A-Z lower-cased.
+
+    Fewer words than ``width`` make one shingle; no words make none. Texts are hashed in chunks; a longer one is a chunk.
     """
-    words = text.lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(h) - width + 1)
-    total = np.full(n, min(len(h), width), np.uint64)
-    for k in range(min(width, len(h))):
-        total = (total ^ _scramble(h[k:k + n])) * _MIX[1 + k % 15]      # the place of a word in the shingle counts
-    return np.unique(_scramble(total))
+    out, at = [], 0
+    while at < len(texts):
+        some, size = [], 0
+        while at < len(texts) and (not some or size + len(texts[at] or b"") <= CHUNK):
+            some.append(texts[at] or b"")
+            size += len(some[-1]) + 1
+            at += 1
+        begins = np.cumsum([0] + [len(t) + 1 for t in some])
+        starts, h = hashes(np.frombuffer(b" ".join(some).lower(), np.uint8))
+        bounds = np.searchsorted(starts, begins)
+        total = _rolled(h, width)
+        for a, b in zip(bounds, bounds[1:]):
+            n = b - a
+            out.append(np.unique(total[a:b - width + 1]) if n >= width else _rolled(h[a:b], n) if n else h[:0])
+    return out
+
+
+def _rolled(h: np.ndarray, width: int) -> np.ndarray:
+    """One hash per run of ``width`` word hashes; the place of a word counts, and so does the width."""
+    n = len(h) - width + 1
+    total = np.full(max(n, 0), width, np.uint64)
+    for k in range(width if n > 0 else 0):
+        total = (total ^ _scramble(h[k:k + n])) * _MIX[1 + k % 15]
+    return _scramble(total)
 
 
 def registers_of(hashes: np.ndarray) -> np.ndarray:
@@ -138,8 +176,7 @@ def sketches(documents: DataFrame, id_col: str, text_col: str, width: int) -> Da
         hashes = WordHashes()
         for batch in batches:
             sizes, keys, registers = [], [], []
-            for text in binary_values(batch.column("text")):
-                s = shingle_set(text, width, hashes)
+            for s in shingle_sets(binary_values(batch.column("text")), width, hashes):
                 sizes.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 registers.append(registers_of(s).tobytes() if len(s) else None)
@@ -165,7 +202,7 @@ def _banded(classes: DataFrame) -> DataFrame:
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """Pairs ``a, b`` whose sizes and corrected estimate allow the similarity, with the estimate."""
+    """Pairs ``a, b`` whose sizes and corrected estimate allow the similarity."""
     side = classes.select("key", "registers", "n_shingles")
     wide = (pairs.join(side.select(F.col("key").alias("a"), F.col("registers").alias("ra"), F.col("n_shingles").alias("na")), "a")
             .join(side.select(F.col("key").alias("b"), F.col("registers").alias("rb"), F.col("n_shingles").alias("nb")), "b")
@@ -180,15 +217,14 @@ def _estimated(pairs: DataFrame, classes: DataFrame, numerator: int, denominator
             found, used = estimate(ra, rb, batch.column("na").to_numpy(), batch.column("nb").to_numpy())
             keep = found >= limit - ESTIMATE_SIGMAS * np.sqrt(limit * (1 - limit) / np.maximum(used, 1)) - 1e-9
             at = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at), pa.array(found[keep])],
-                                             names=["a", "b", "estimate"])
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], names=["a", "b"])
 
-    return wide.mapInArrow(run, "a binary, b binary, estimate double")
+    return wide.mapInArrow(run, "a binary, b binary")
 
 
-def _texts(documents: DataFrame, rows: DataFrame, keys: DataFrame, classes: DataFrame, id_col: str, text_col: str,
-           width: int) -> DataFrame:
-    """``key, text``: the whole text of one document of each of the given classes."""
+def _texts(documents: DataFrame, keys: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int,
+           repeated: bool) -> DataFrame:
+    """``key, text``: the whole text of one document of each of the given classes; ``repeated`` if ids may repeat."""
     ids = table(classes.join(small_side(keys), "key", "left_semi").select(F.col("least_id").alias("wanted_id"),
                                                                          F.col("key").alias("wanted_key")), "wanted")
     n = ids.count()
@@ -198,16 +234,13 @@ def _texts(documents: DataFrame, rows: DataFrame, keys: DataFrame, classes: Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_set(t, width, hashes) for t in binary_values(batch.column("text"))]
+            sets = shingle_sets(binary_values(batch.column("text")), width, hashes)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column("text")], names=["key", "text"])
 
     found = chosen.select("text").mapInArrow(run, "key binary, text string")
     found = found.join(small_side(ids.select(F.col("wanted_key").alias("key")), n), "key", "left_semi")
-    # only an id that comes twice can give a class two texts
-    if not rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        found = found.dropDuplicates(["key"])
-    return table(found, "class-texts")
+    return table(found.dropDuplicates(["key"]) if repeated else found, "class-texts")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, numerator: int, denominator: int) -> DataFrame:
@@ -222,8 +255,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, numerator: int, de
             for i, (key, x, y) in enumerate(zip(batch.column("a").to_pylist(), binary_values(batch.column("ta")),
                                                 binary_values(batch.column("tb")))):
                 if key != known:                          # joined by a, so equal ones follow each other
-                    known, left = key, shingle_set(x, width, hashes)
-                right = shingle_set(y, width, hashes)
+                    known, left = key, shingle_sets([x], width, hashes)[0]
+                right = shingle_sets([y], width, hashes)[0]
                 both = np.concatenate([left, right])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
@@ -243,26 +276,17 @@ def _labels(members: DataFrame, components: DataFrame | None) -> DataFrame:
     return members.join(named, "key", "left").withColumn("label", F.coalesce("component", "key")).drop("component")
 
 
-def _apart(pairs: DataFrame, components: DataFrame | None) -> DataFrame:
-    """Pairs ``a, b, ...`` whose ends aren't in one component yet."""
-    if components is None:
-        return pairs
-    la = components.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    lb = components.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    joined = pairs.join(la, "a", "left").join(lb, "b", "left")
-    return joined.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).drop("ca", "cb")
-
-
 def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     numerator: int = 85, denominator: int = 100) -> DataFrame:
     """One row per row of ``documents``: doc_id, n_shingles, component_id, kept.
 
     Documents whose shingle sets meet ``denominator * intersection >= numerator * union`` are linked; ``component_id`` is the
     least id that links reach, ``kept`` whether it is the row's own. Rows with equal sets are one class from the start, so
-    copies are never paired. Classes share a bucket where all registers of a band are equal. Within a bucket the least class
-    is compared with all others; then, round by round, members outside its component are compared with every member of
-    another component, until each has been: a bucket's links that matter are all found without pairing a component with
-    itself. Compared pairs pass the size bound and the corrected estimate (five standard errors below the similarity),
+    copies are never paired. Classes share a bucket where all registers of a band are equal. First each class is compared
+    with one bucket leader (the least class), that with which it shares most buckets. Then members outside their leader's
+    component are compared with every member of another component, up to OUTSIDERS of a bucket in a round, until each has
+    been: all links between components are found without pairing a component with itself. Compared pairs pass the size
+    bound and the corrected estimate (ESTIMATE_SIGMAS standard errors below the similarity),
     then the full sets decide. Empty and null texts have no shingles, link with nothing and are kept; rows repeated with
     their id are all kept or none; a null id is never a component's least, so such a row is kept only if it has no words or
     all rows of its component have null ids. Other columns are not read. Hot buckets are split by AQE (equi-joins on band and class), and minima combine before shuffles.
@@ -272,39 +296,46 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
         F.min("id").alias("least_id"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")), "classes")
     bands = _banded(classes)
     buckets = bands.groupBy("band").agg(F.min("key").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = table(bands.join(buckets, "band"), "bucket-members")
+    members = table(bands.join(buckets.drop("n"), "band"), "bucket-members")
 
-    pairs = members.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-    edges, components, served, wanted = None, None, None, LEADERS
+    # only an id that comes twice can give a class two texts
+    repeated = not rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    edges = components = None
+
+    def compare(pairs: DataFrame) -> None:
+        nonlocal edges, components
+        candidates = table(_estimated(pairs, classes, numerator, denominator), "candidates")
+        if candidates.isEmpty():
+            return
+        keys = table(candidates.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "candidate-keys")
+        texts = _texts(documents, keys, classes, id_col, text_col, width, repeated)
+        found = _verified(candidates, texts, width, numerator, denominator)
+        edges = table(found if components is None else components.select(
+            F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(found), "links")
+        components = connected_components(edges)
+
+    shared = members.where("key <> leader").groupBy("leader", "key").agg(F.count(F.lit(1)).alias("n"))
+    compare(shared.groupBy("key").agg(F.max_by("leader", F.struct("n", "leader")).alias("a")).select("a", F.col("key").alias("b")))
+    served = None
     while True:
-        fresh = table(_estimated(pairs, classes, numerator, denominator), "estimated")
-        # the likeliest partner of each class first: most others are then in its component and need no verification
-        best = fresh.groupBy("b").agg(F.max_by("a", "estimate").alias("a")).select("a", "b")
-        for candidates in (best, fresh.select("a", "b")):
-            candidates = table(_apart(candidates, components), "candidates")
-            if not candidates.isEmpty():
-                keys = candidates.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-                texts = _texts(documents, rows, table(keys, "candidate-keys"), classes, id_col, text_col, width)
-                found = _verified(candidates, texts, width, numerator, denominator)
-                edges = table(found if edges is None else edges.unionByName(found), "links")
-                components = connected_components(edges)
-        labelled = _labels(members.where("n > 2"), components)       # in a bucket of two the only pair has been compared
+        labelled = table(_labels(members, components), "labelled")
         lead = labelled.where("key = leader").select("band", F.col("label").alias("lead_label"))
         outside = labelled.join(lead, "band").where("label <> lead_label").select("band", "key", "label")
-        outside = table(outside, "outsiders")
         if served is not None:
             outside = outside.join(served, ["band", "key"], "left_anti")
         rank = F.row_number().over(Window.partitionBy("band").orderBy("key"))
-        leaders = table(outside.withColumn("rank", rank).where(F.col("rank") <= wanted).drop("rank"), "next-leaders")
-        many = table(labelled.join(leaders.select("band").distinct(), "band", "left_semi"), "open-buckets")
-        pairs = (many.join(leaders.select("band", F.col("key").alias("other"), F.col("label").alias("other_label")), "band")
-                 .where("label <> other_label and key <> leader")
-                 .select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct())
-        if leaders.isEmpty():
+        chosen = table(outside.withColumn("rank", rank).where(F.col("rank") <= OUTSIDERS + 1), "outsiders")
+        most = chosen.agg(F.max("rank")).first()[0]
+        if most is None:
+            break
+        chosen = chosen.where(F.col("rank") <= OUTSIDERS)
+        others = chosen.select("band", F.col("key").alias("other"), F.col("label").alias("other_label"))
+        compare(labelled.join(others, "band").where("label <> other_label")
+                .select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct())
+        if most <= OUTSIDERS:
             break
-        done = leaders.select("band", "key")
+        done = chosen.select("band", "key")
         served = table(done if served is None else served.unionByName(done), "served")
-        wanted *= 2
 
     grouped = _labels(classes.select("key", "least_id"), components)
     least = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"))

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import connected_components, table
+from starling.llm.common import connected_components, least_reachable, table
 
 WINDOW = 1024                   # neighbours compared on each side
 BLOCK = 4 * WINDOW              # vectors compared in one task, beside the window before them
@@ -114,20 +114,6 @@ def _positions(classes: DataFrame, passes: int, single: bool) -> DataFrame:
     return placed.groupBy("key").agg(F.sort_array(F.collect_list("p")).alias("p")).select("key", F.col("p.at").alias("places"))
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least index reachable from each of ``n`` points over the links ``a, b``."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _compare(placed: DataFrame, passes: range, threshold: float, window: int, block: int, single: bool) -> DataFrame:
     """``key, links, root`` per class and block: rows linked first in this pass, and the class's root within the block.
 
@@ -164,7 +150,7 @@ def _compare(placed: DataFrame, passes: range, threshold: float, window: int, bl
                 left.append(i)
                 right.append(j)
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        root = _roots(len(at), a, b)
+        root = least_reachable(len(at), a, b)
         keep = pa.array(np.flatnonzero(links > 0))
         keys = group.column("key").combine_chunks()
         return pa.table({"key": keys.take(keep), "links": pa.array(links).take(keep),

@@ -69,15 +69,15 @@ def test_components_equal_brute_force(spark):
 
 
 def test_outsiders_of_a_bucket_are_compared(spark):
-    """With one band and row every document that shares its first register meets; leaders alone would miss links."""
-    keep = minhash.BANDS, minhash.ROWS, minhash.LEADERS
+    """With one outsider a round, rounds go on until all members of a bucket have been compared."""
+    keep = minhash.OUTSIDERS
     rows = planted()
     d = spark.createDataFrame(rows, "doc_id long, text string")
     try:
-        minhash.BANDS, minhash.ROWS, minhash.LEADERS = 40, 1, 1
+        minhash.OUTSIDERS = 1
         got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(d).collect()}
     finally:
-        minhash.BANDS, minhash.ROWS, minhash.LEADERS = keep
+        minhash.OUTSIDERS = keep
     assert got == {i: c for i, (_, c) in brute(rows, 3, 85, 100).items()}
 
 
@@ -105,7 +105,9 @@ def test_registers_are_leading_zeros_and_mantissa():
 
 def test_components_of_stars_chains_and_rings(spark):
     edges = [(0, i) for i in range(1, 50)] + [(100 + i, 101 + i) for i in range(60)] + [(200, 201), (201, 202), (202, 200), (7, 7), (None, 3)]
-    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    d = spark.createDataFrame(edges, "src long, dst long")
+    got = {r["node"]: r["component"] for r in connected_components(d).collect()}
+    assert got == {r["node"]: r["component"] for r in connected_components(d, local_edges=0).collect()}
     assert got == {i: 0 for i in range(50)} | {100 + i: 100 for i in range(61)} | {i: 200 for i in (200, 201, 202)}
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
