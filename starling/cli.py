@@ -3,6 +3,10 @@
     python -m starling.cli run --source <landing area> --state <state folder> [--once] [--every "1 minute"]
     python -m starling.cli diagnose --state <state folder>
     python -m starling.cli compact --state <state folder>
+    python -m starling.cli reset --state <state folder>
+
+The session is the submitter's; only ``--master`` makes one with settings of its own. ``diagnose`` prints every row.
+``reset`` prints the folder of a fresh, empty state beside this one (nothing is removed).
 
 ``run`` starts the file ingest (query 1) and the transform (query 2). With ``--once`` both drain what is
 there (``availableNow``) and stop; otherwise they trigger every ``--every``. The scheduler of the
@@ -19,50 +23,52 @@ from starling.plans import diagnostics
 from starling.session import build_session
 from starling.store.tables import Store
 from starling.streaming.ingest import start_ingest
-from starling.streaming.progress import record_progress
+from starling.streaming.progress import ProgressRecorder
 from starling.streaming.transform import run_until_drained, start_transform
 
 
 def _run(spark, args) -> None:
     st = Store(spark, args.state, args.money)
+    spark.streams.addListener(ProgressRecorder(spark, f"{st.root}/load_progress"))
+    how = dict(strict=not args.permissive, strict_dims=args.strict_dims, compact_every=args.compact_every)
     if args.once:
-        q1 = start_ingest(spark, args.source, st, args.max_files)
-        run_until_drained(q1)
-        record_progress(spark, q1, f"{st.root}/load_progress")
-        run_until_drained(start_transform(spark, st, strict=not args.permissive, compact_every=args.compact_every))
+        run_until_drained(start_ingest(spark, args.source, st, args.max_files, fmt=args.format))
+        run_until_drained(start_transform(spark, st, **how))
         return
-    q1 = start_ingest(spark, args.source, st, args.max_files, available_now=False, processing_time=args.every)
-    q2 = start_transform(spark, st, available_now=False, processing_time=args.every, strict=not args.permissive,
-                         compact_every=args.compact_every)
+    q1 = start_ingest(spark, args.source, st, args.max_files, available_now=False, processing_time=args.every, fmt=args.format)
+    q2 = start_transform(spark, st, available_now=False, processing_time=args.every, **how)
     spark.streams.awaitAnyTermination()
     for q in (q1, q2):
         if q.exception() is not None:
             raise q.exception()
 
 
+def _print_all(title: str, df) -> None:
+    print(f"-- {title}: {', '.join(df.columns)}")
+    for row in df.toLocalIterator():
+        print("\t".join("NULL" if v is None else str(v) for v in row))
+
+
 def _diagnose(spark, args) -> None:
     st = Store(spark, args.state, args.money)
-    upto = st.last_commit()
-    diagnostics.layer_counts([
+    counts = diagnostics.layer_counts([
         ("RAW", "landing", st.landing()),
-        ("STAGED", "stg_orders", st.current("stg_orders")),
-        ("STAGED", "stg_order_items", st.current("stg_order_items")),
-        ("CURATED", "dim_customer", st.current("dim_customer")),
-        ("CURATED", "dim_product", st.current("dim_product")),
-        ("CURATED", "fact_orders", st.current("fact_orders")),
-        ("CURATED", "fact_order_items", st.current("fact_order_items")),
-        ("REJECTS", "rejects", st.log("rejects", upto)),
-    ]).show(truncate=False)
+        *[("STAGED", t, st.current(t)) for t in ("stg_orders", "stg_order_items")],
+        *[("CURATED", t, st.current(t)) for t in ("dim_customer", "dim_product", "fact_orders", "fact_order_items")],
+        ("REJECTS", "rejects", st.log("rejects")),
+    ])
+    _print_all("layers", counts.unionByName(diagnostics.pending_counts(st)))
     landing = st.landing()
-    diagnostics.load_history(landing, hours=args.hours).orderBy("file_name").show(50, truncate=False)
-    diagnostics.load_usage(landing, hours=args.hours).orderBy("hour_start").show(50, truncate=False)
-    diagnostics.run_history(st.audit(), "procedure_name", "sp%", "event_ts").show(50, truncate=False)
-    diagnostics.batch_summary(st.audit()).orderBy(F.col("batch_id").desc()).show(20, truncate=False)
+    _print_all("load history", diagnostics.load_history(landing, hours=args.hours).orderBy("file_name"))
+    _print_all("load usage", diagnostics.load_usage(landing, hours=args.hours).orderBy("hour_start"))
+    _print_all("runs", diagnostics.runs(st.audit()))
+    _print_all("steps", diagnostics.run_history(st.audit(), "procedure_name", "sp%", "event_ts"))
+    _print_all("batches", diagnostics.batch_summary(st.audit(), st.commits()).orderBy(F.col("batch_id").desc()))
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="starling")
-    p.add_argument("command", choices=["run", "diagnose", "compact"])
+    p.add_argument("command", choices=["run", "diagnose", "compact", "reset"])
     p.add_argument("--state", required=True)
     p.add_argument("--source")
     p.add_argument("--once", action="store_true")
@@ -70,6 +76,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--max-files", type=int, default=None)
     p.add_argument("--money", default="number", choices=["number", "cents"])
     p.add_argument("--permissive", action="store_true")
+    p.add_argument("--strict-dims", action="store_true", help="fail a batch with conflicting dimension values")
+    p.add_argument("--format", default="array", choices=["array", "lines"])
     p.add_argument("--hours", type=int, default=48)
     p.add_argument("--compact-every", type=int, default=None, help="compact after every N-th batch")
     p.add_argument("--master", default=None)
@@ -79,6 +87,8 @@ def main(argv: list[str] | None = None) -> None:
         _run(spark, args)
     elif args.command == "diagnose":
         _diagnose(spark, args)
+    elif args.command == "reset":
+        print("fresh state", Store(spark, args.state, args.money).reset().root)
     else:
         print("compacted up to batch", Store(spark, args.state, args.money).compact())
 

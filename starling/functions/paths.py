@@ -79,15 +79,22 @@ def items_array(doc: Column | str, strict: bool = True) -> Column:
     return fn(F.col(doc) if isinstance(doc, str) else doc, ITEMS_PATH, "array<variant>")
 
 
-def bad_cast_flag(doc: Column | str, money="number", item: bool = False) -> Column:
-    """True when some path holds a value that is present but does not cast."""
-    paths = ITEM_PATHS if item else ORDER_PATHS
-    d = F.col(doc) if isinstance(doc, str) else doc
-    conds = []
+def _bad_value(doc: Column, paths, money) -> Column:
+    """True when some path of ``doc`` holds a value that is present but does not cast."""
+    out = F.lit(False)
     for _, p, k in paths:
-        present = F.variant_get(d, p, "variant").isNotNull() & ~F.is_variant_null(F.variant_get(d, p, "variant"))
-        conds.append(present & get_path(d, p, k, money, strict=False).isNull())
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
+        raw = F.variant_get(doc, p, "variant")
+        out = out | (raw.isNotNull() & ~F.is_variant_null(raw) & get_path(doc, p, k, money, strict=False).isNull())
     return out
+
+
+def bad_cast_flag(doc: Column | str, money="number") -> Column:
+    """True when the document cannot be staged whole: a value of the order or of an item does not cast, ``items`` is
+    present but no array, or an item is no object."""
+    d = F.col(doc) if isinstance(doc, str) else doc
+    raw = F.variant_get(d, ITEMS_PATH, "variant")
+    items = items_array(d, strict=False)
+    no_array = raw.isNotNull() & ~F.is_variant_null(raw) & items.isNull()
+    bad_item = F.exists(items, lambda x: ~F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False))
+                        | _bad_value(x, ITEM_PATHS, money))
+    return _bad_value(d, ORDER_PATHS, money) | no_array | F.coalesce(bad_item, F.lit(False))

@@ -6,7 +6,7 @@ images with ``_is_update = true`` for a key whose values changed. One pass over
 one full outer join; the images are generated per joined row.
 
 ``multiset_changes`` (keyless, I3) is the multiset difference both ways
-(``EXCEPT ALL``), for tables like order items that have no key.
+(``EXCEPT ALL``) in one aggregation, for tables like order items that have no key.
 """
 
 from __future__ import annotations
@@ -38,8 +38,9 @@ def net_changes(before: DataFrame, after: DataFrame, keys: list[str], cols: list
 
 
 def multiset_changes(before: DataFrame, after: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Both multiset differences in one aggregation: copies after less copies before, repeated by their number."""
     cols = cols or after.columns
-    b, a = before.select(*cols), after.select(*cols)
-    deleted = b.exceptAll(a).withColumn(ACTION, F.lit("DELETE"))
-    inserted = a.exceptAll(b).withColumn(ACTION, F.lit("INSERT"))
-    return deleted.unionByName(inserted)
+    both = (before.select(*cols, F.lit(-1).alias("_n")).unionByName(after.select(*cols, F.lit(1).alias("_n"))))
+    net = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    action = F.when(F.col("_n") < 0, "DELETE").otherwise("INSERT")
+    return net.select(*cols, action.alias(ACTION), F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int"))).alias("_copy")).drop("_copy")

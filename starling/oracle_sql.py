@@ -7,17 +7,17 @@ build -> parse -> dedup -> merge directly from ``orders``, ``lineitem``,
 
 from __future__ import annotations
 
-TIER = ("CASE WHEN c.c_acctbal < 2500 THEN 'BRONZE' WHEN c.c_acctbal < 5000 THEN 'SILVER' "
-        "WHEN c.c_acctbal < 7500 THEN 'GOLD' ELSE 'PLATINUM' END")
+TIER = ("CASE WHEN c.c_acctbal < 0 THEN 'IN_DEBT' WHEN c.c_acctbal < 3000 THEN 'LOW' "
+        "WHEN c.c_acctbal < 7000 THEN 'MIDDLE' ELSE 'HIGH' END")
 
 
 def promote(x: str) -> str:
-    return f"CASE {x} WHEN 'BRONZE' THEN 'SILVER' WHEN 'SILVER' THEN 'GOLD' WHEN 'GOLD' THEN 'PLATINUM' ELSE {x} END"
+    return f"CASE {x} WHEN 'IN_DEBT' THEN 'LOW' WHEN 'LOW' THEN 'MIDDLE' WHEN 'MIDDLE' THEN 'HIGH' ELSE {x} END"
 
 
 def file_name(prefix: str) -> str:
     return (f"'{prefix}orders_' || strftime(o.o_orderdate, '%Y%m') || '_' || "
-            f"lpad(CAST(o.o_orderkey // 100000 AS VARCHAR), 5, '0') || '.json'")
+            f"printf('%05d', o.o_orderkey // 100000) || '.json'")
 
 
 DOCS = f"""docs AS (
@@ -288,3 +288,90 @@ UNION ALL SELECT 'CURATED', 'dim_customer', CAST(n_cust AS BIGINT) FROM stats
 UNION ALL SELECT 'CURATED', 'dim_product', CAST(n_prod AS BIGINT) FROM stats
 UNION ALL SELECT 'CURATED', 'fact_orders', CAST(n_orders AS BIGINT) FROM stats
 UNION ALL SELECT 'CURATED', 'fact_order_items', CAST(count(*) AS BIGINT) FROM items2"""
+
+ORACLE["layer_counts_pending"] = _with(DOCS, LINES, STATS) + """
+SELECT 'STREAM' AS layer, 'RAW_ORDERS_STREAM' AS object_name, CAST(n_resent AS BIGINT) AS row_count FROM stats
+UNION ALL SELECT 'STREAM', 'STG_ORDERS_STREAM', CAST(0 AS BIGINT)
+UNION ALL SELECT 'STREAM', 'STG_ORDER_ITEMS_STREAM', CAST(0 AS BIGINT)"""
+
+ORACLE["failed_batch_audit"] = _with(DOCS, LINES, STATS) + "\nUNION ALL\n".join(
+    [f"SELECT CAST(0 AS BIGINT) AS batch_id, '{s}' AS stage_step, 'SUCCESS' AS status, CAST({e} AS BIGINT) AS affected_rows FROM stats"
+     for b, p, s, e, f in _STEPS if b == 0]
+    + ["SELECT CAST(1 AS BIGINT), 'STREAM_READ_CREATE_TMP', 'SUCCESS', CAST(n_resent AS BIGINT) FROM stats",
+       "SELECT CAST(1 AS BIGINT), 'MERGE_STG_ORDERS', 'FAILED', CAST(NULL AS BIGINT)"])
+
+ORACLE["run_history_runs"] = _with(DOCS, LINES, STATS) + """
+SELECT CAST(0 AS BIGINT) AS batch_id, 'batch:0' AS query_id, CAST(11 AS BIGINT) AS steps_done, CAST(n_orders AS BIGINT) AS stream_rows,
+       CAST(0 AS BIGINT) AS rejected_rows, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS failed_step FROM stats
+UNION ALL
+SELECT CAST(1 AS BIGINT), 'batch:1', CAST(11 AS BIGINT), CAST(n_resent AS BIGINT), CAST(0 AS BIGINT), 'SUCCESS', NULL FROM stats"""
+
+ORACLE["batch_then_stream"] = ORACLE["fact_order_items"]
+
+MIXED = """mixed AS (
+  SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'lines' WHEN 'F' THEN 'twice' ELSE 'array' END AS kind,
+         'orders_' || strftime(o_orderdate, '%Y%m') || '_' || printf('%05d', o_orderkey // 100000) || '.json' AS file
+  FROM orders
+)"""
+
+ORACLE["multi_document_rejects"] = _with(MIXED) + """
+SELECT kind, 'loaded' AS outcome, CAST(count(*) AS BIGINT) AS row_count FROM mixed WHERE kind <> 'twice' GROUP BY kind
+UNION ALL
+SELECT kind, 'malformed JSON', CAST(count(DISTINCT file) AS BIGINT) FROM mixed WHERE kind = 'twice' GROUP BY kind"""
+
+ORACLE["load_history_rejects"] = _with(MIXED) + """
+SELECT kind || '/' || file AS file_name, CAST(CASE WHEN kind = 'twice' THEN 0 ELSE count(*) END AS BIGINT) AS rows_loaded,
+       CAST(CASE WHEN kind = 'twice' THEN 1 ELSE 0 END AS BIGINT) AS rows_rejected,
+       CASE WHEN kind = 'twice' THEN 'LOAD_FAILED' ELSE 'LOADED' END AS status
+FROM mixed GROUP BY kind, file"""
+
+ORACLE["json_lines_load"] = _with(DOCS) + """
+SELECT customer_id, tier1 AS loyalty_tier, segment, order_date, order_id, payment_amount, payment_currency, payment_method,
+       shipping_city, shipping_country, shipping_delivery_type, status1 AS status, CAST(NULL AS VARCHAR) AS reject_reason
+FROM docs"""
+
+ORACLE["nested_landing"] = _with(MIXED) + """
+SELECT 'n/' || file AS file_name, CAST(count(*) AS BIGINT) AS row_count, CAST(count(*) AS BIGINT) AS last_row FROM mixed GROUP BY file"""
+
+ORACLE["file_listing"] = _with(DOCS) + "SELECT DISTINCT file1 AS file_name, TRUE AS has_rows FROM docs"
+
+# a low-priority order always has items that are no array; an urgent one only has a bad quantity if it has a line
+BAD_ITEMS = """bad AS (
+  SELECT o_orderkey, (o_orderpriority IS NOT DISTINCT FROM '5-LOW')
+         OR (o_orderpriority IS NOT DISTINCT FROM '1-URGENT'
+             AND EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o_orderkey AND l.l_quantity IS NOT NULL)) AS is_bad
+  FROM orders
+)"""
+ORACLE["rejects_items"] = _with(BAD_ITEMS) + """
+SELECT 'staged orders' AS outcome, CAST(count(*) FILTER (WHERE NOT is_bad) AS BIGINT) AS row_count FROM bad
+UNION ALL
+SELECT 'staged items', CAST(count(*) AS BIGINT) FROM lineitem JOIN bad ON o_orderkey = l_orderkey WHERE NOT is_bad
+UNION ALL
+SELECT 'value does not cast', CAST(count(*) FILTER (WHERE is_bad) AS BIGINT) FROM bad"""
+
+G1, G2 = file_name("g1/"), file_name("g2/")
+GROWING = f"""g AS (
+  SELECT d.*, {G1} AS gfile1, {G2} AS gfile2, coalesce(d.status1 <> 'O', true) AS in1, coalesce(d.status1 IN ('P', 'O'), false) AS in2
+  FROM docs d JOIN orders o ON o.o_orderkey = d.o_orderkey
+), gi1 AS (
+  SELECT g.order_id, g.order_date, li.product_id, li.category, li.quantity, li.unit_price
+  FROM g JOIN lines li ON li.l_orderkey = g.o_orderkey WHERE g.in1 AND li.l_linestatus = 'F'
+), gi2 AS (
+  SELECT g.order_id, g.order_date, li.product_id, li.category, li.quantity, li.unit_price
+  FROM g JOIN lines li ON li.l_orderkey = g.o_orderkey
+  WHERE (g.in2 AND li.l_linestatus IS DISTINCT FROM 'F') OR (NOT g.in2 AND li.l_linestatus = 'F')
+)"""
+ORACLE["growing_merge_counts"] = _with(DOCS, LINES, GROWING) + """
+SELECT CAST(count(*) FILTER (WHERE in2 AND NOT in1) AS BIGINT) AS inserted_rows, CAST(count(*) FILTER (WHERE in2 AND in1) AS BIGINT) AS updated_rows,
+       CAST(count(*) FILTER (WHERE in2) AS BIGINT) AS merged_rows FROM g"""
+ORACLE["growing_order_changes"] = _with(DOCS, LINES, GROWING) + """
+SELECT order_id, status1 AS status, gfile1 AS file_name, 'DELETE' AS _action, TRUE AS _is_update FROM g WHERE in1 AND in2
+UNION ALL
+SELECT order_id, status1, gfile2, 'INSERT', in1 FROM g WHERE in2"""
+ORACLE["growing_item_changes"] = _with(DOCS, LINES, GROWING) + """
+SELECT *, 'DELETE' AS _action FROM (SELECT * FROM gi1 EXCEPT ALL SELECT * FROM gi2)
+UNION ALL
+SELECT *, 'INSERT' AS _action FROM (SELECT * FROM gi2 EXCEPT ALL SELECT * FROM gi1)"""
+ORACLE["distinct_customers"] = _with(DOCS) + "SELECT DISTINCT customer_id, tier1 AS loyalty_tier, segment FROM docs"
+ORACLE["landing_times"] = """
+SELECT CAST(o_orderkey AS DECIMAL(38,0)) AS order_id, CAST(date_trunc('second', o_orderdate) AS TIMESTAMP) AS ordered_at FROM orders"""

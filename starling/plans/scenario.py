@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from starling.sources.documents import Tables, documents_to_files, load_tables, order_documents
 from starling.sources.json_files import landing_rows
 
-LOAD_BASE = "2026-02-01 08:00:00"
+LOAD_BASE = "2030-06-15 00:00:00"
 DATE_CUTS = ["1997-01-01", "1999-01-01", "2001-01-01"]
 
 
@@ -65,6 +65,8 @@ def dated_document_batches(t: Tables) -> list[DataFrame]:
             cond = cond & (d >= F.lit(lo).cast("timestamp_ntz"))
         if hi is not None:
             cond = cond & (d < F.lit(hi).cast("timestamp_ntz"))
+        if lo is None:
+            cond = cond | d.isNull()        # an order without a date comes with the first load
         out.append(initial_documents(t, orders_where=cond, prefix=f"d{i + 1}/"))
     out.append(resend_documents(t, prefix=f"d{len(bounds)}/"))
     return out

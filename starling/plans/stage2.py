@@ -33,10 +33,11 @@ def dim_customer_source(tmp_orders: DataFrame, strict: bool = False, updated_at:
 
 
 def dim_product_source(tmp_items: DataFrame, strict: bool = False, updated_at: Column | None = None) -> DataFrame:
-    """One row per product of the batch (K3 source, D5)."""
+    """One row per product of the batch (K3 source, D5). Two categories in one order tie up to the last rule, the
+    greater text, so a replay gives the same row."""
     ts = now() if updated_at is None else updated_at
     rows = one_row_per_key(tmp_items.where(F.col("product_id").isNotNull()), "product_id", ["category"],
-                           _version_order(), strict)
+                           [*_version_order(), F.col("category").desc_nulls_last()], strict)
     return rows.select("product_id", "category", ts.alias("updated_at"))
 
 

@@ -23,6 +23,8 @@ from starling.session import ensure_checkpoint_dir
 from starling.plans import diagnostics, scenario, stage1, stage2
 from starling.plans.star import star_revenue as star_revenue_plan
 from starling.functions.paths import order_columns
+from starling.sources.documents import documents_to_files, load_tables, order_documents
+from starling.sources.json_files import (landing_rows, list_files, query_files, read_landing, write_json_array_files)
 
 ITEM_COLS = ["order_id", "order_date", "product_id", "category", "quantity", "unit_price", "file_name"]
 ORDER_COLS = ["customer_id", "loyalty_tier", "segment", "order_date", "order_id", "payment_amount",
@@ -113,7 +115,8 @@ def q_surviving_items_anti(spark, sf_dir):
 
 
 def q_affected_keys(spark, sf_dir):
-    return parent_keys(_pure_run(spark, sf_dir)["lat2"], ["order_id"])
+    resent = scenario.landing_of(scenario.resend_documents(load_tables(spark, sf_dir)), 2)
+    return parent_keys(stage1.latest_orders(resent), ["order_id"])
 
 
 def q_dim_customer_scd1(spark, sf_dir):
@@ -261,8 +264,6 @@ def q_store_item_changes(spark, sf_dir):
 def q_rejects_permissive(spark, sf_dir):
     """Low-priority orders arrive with an amount that does not cast; a permissive load keeps the
     rest and routes those documents to rejects with a reason (D9, D10)."""
-    from starling.sources.documents import load_tables
-
     t = load_tables(spark, sf_dir)
     docs = scenario.with_text_amount(scenario.initial_documents(t), F.col("priority") == "5-LOW")
     st = _store(spark, "permissive")
@@ -281,24 +282,184 @@ def q_incremental_equals_batch(spark, sf_dir):
     return st.current("fact_order_items").select(*FACT_ITEM_COLS)
 
 
-def q_layer_counts(spark, sf_dir):
-    st = _stored_two_batches(spark, sf_dir)
-    upto = st.last_commit()
-    pending = st.log("landing_loads", upto=10**12, after=upto)
-    staged_pending_o = st.log("stg_orders", upto=10**12, after=upto)
-    staged_pending_i = st.log("stg_order_items", upto=10**12, after=upto)
-    return diagnostics.layer_counts([
+def _layers(st: Store) -> DataFrame:
+    counts = diagnostics.layer_counts([
         ("RAW", "raw_orders_json", st.landing()),
-        ("STREAM", "RAW_ORDERS_STREAM", pending),
         ("STAGED", "stg_orders", st.current("stg_orders")),
-        ("STREAM", "STG_ORDERS_STREAM", staged_pending_o),
         ("STAGED", "stg_order_items", st.current("stg_order_items")),
-        ("STREAM", "STG_ORDER_ITEMS_STREAM", staged_pending_i),
         ("CURATED", "dim_customer", st.current("dim_customer")),
         ("CURATED", "dim_product", st.current("dim_product")),
         ("CURATED", "fact_orders", st.current("fact_orders")),
         ("CURATED", "fact_order_items", st.current("fact_order_items")),
     ])
+    return counts.unionByName(diagnostics.pending_counts(st))
+
+
+def q_layer_counts(spark, sf_dir):
+    return _layers(_stored_two_batches(spark, sf_dir))
+
+
+def q_layer_counts_pending(spark, sf_dir):
+    """The second batch has landed but isn't processed yet."""
+    st = _store(spark, "pending")
+    l1, l2 = scenario.two_batches(spark, sf_dir)
+    store_pipeline.load_batch(st, l1)
+    st.write("landing_loads", l2, 1)
+    return diagnostics.pending_counts(st)
+
+
+def q_failed_batch_audit(spark, sf_dir):
+    """A strict batch with amounts that don't cast fails; the audit has the steps done before, and the failure."""
+    t = load_tables(spark, sf_dir)
+    bad = scenario.with_text_amount(scenario.resend_documents(t), F.lit(True))
+    st = _store(spark, "failed")
+    store_pipeline.load_batch(st, scenario.landing_of(scenario.initial_documents(t), 1))
+    try:
+        store_pipeline.load_batch(st, scenario.landing_of(bad, 2), concurrent=False)
+    except Exception:
+        pass
+    return st.audit().select("batch_id", "stage_step", "status", "affected_rows")
+
+
+def q_run_history_runs(spark, sf_dir):
+    """One row per run: the two committed batches and a repeated one that is skipped."""
+    st = _stored_two_batches(spark, sf_dir)
+    return diagnostics.runs(st.audit()).select("batch_id", "query_id", "steps_done", "stream_rows", "rejected_rows", "status", "failed_step")
+
+
+def q_batch_then_stream(spark, sf_dir):
+    """The initial orders as a batch load, the re-sent ones through both streams, on one state."""
+    from starling.streaming.ingest import start_ingest
+    from starling.streaming.transform import run_until_drained, start_transform
+
+    st = _store(spark, "batch-stream")
+    t = load_tables(spark, sf_dir)
+    store_pipeline.load_batch(st, scenario.landing_of(scenario.initial_documents(t), 1))
+    drop = f"{st.root}/_incoming"
+    write_json_array_files(documents_to_files(scenario.resend_documents(t)), drop)
+    run_until_drained(start_ingest(spark, drop, st))
+    run_until_drained(start_transform(spark, st))
+    return st.current("fact_order_items").select(*FACT_ITEM_COLS)
+
+
+def _documents_of(t, status: str, prefix: str) -> DataFrame:
+    return documents_to_files(order_documents(t, orders_where=F.col("o_orderstatus") == status, file_prefix=prefix))
+
+
+def _mixed_files(spark, sf_dir, label: str) -> str:
+    """Files as they may come: open orders one object per line, finished ones as two arrays in a file (no document),
+    others as one array."""
+    t = load_tables(spark, sf_dir)
+    drop = shared_path(spark, "queries", label)
+    other = F.coalesce(~F.col("o_orderstatus").isin("O", "F"), F.lit(True))
+    rest = documents_to_files(order_documents(t, orders_where=other, file_prefix="array/"))
+    lines = _documents_of(t, "O", "lines/").select("file_name", F.array_join(F.transform(
+        F.from_json("value", "array<variant>"), lambda x: F.to_json(x)), "\n").alias("value"))
+    twice = _documents_of(t, "F", "twice/").select("file_name", F.concat("value", F.lit("\n"), "value").alias("value"))
+    write_json_array_files(rest.unionByName(lines).unionByName(twice), drop)
+    return drop
+
+
+def q_multi_document_rejects(spark, sf_dir):
+    rows = query_files(spark, _mixed_files(spark, sf_dir, "mixed"))
+    kind = F.substring_index("file_name", "/", 1)
+    return rows.groupBy(kind.alias("kind"), F.coalesce("reject_reason", F.lit("loaded")).alias("outcome")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("row_count"))
+
+
+def q_load_history_rejects(spark, sf_dir):
+    land = _loaded_at(read_landing(spark, _mixed_files(spark, sf_dir, "history")))
+    return diagnostics.load_history(land, hours=48, reference=scenario.load_ts_of(1)).select(
+        "file_name", "rows_loaded", "rows_rejected", "status")
+
+
+def _loaded_at(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("load_ts", scenario.load_ts_of(1))
+
+
+def q_json_lines_load(spark, sf_dir):
+    """Documents as JSON Lines files, read through the splittable line source and landed once by two loads."""
+    from starling.sources.json_files import load_once
+
+    t = load_tables(spark, sf_dir)
+    drop, landing = shared_path(spark, "queries", "lines"), shared_path(spark, "queries", "lines-landing")
+    order_documents(t).select("doc").write.text(drop)
+    load_once(spark, drop, landing, fmt="lines")
+    rows = load_once(spark, drop, landing, fmt="lines")
+    return rows.select(*[c for c in order_columns("payload")], "reject_reason")
+
+
+def q_nested_landing(spark, sf_dir):
+    """Array files in folders below folders; row counts and last row number per logical name."""
+    t = load_tables(spark, sf_dir)
+    drop = shared_path(spark, "queries", "nested")
+    files = documents_to_files(order_documents(t, file_prefix="n/"))
+    (files.withColumn("year", F.regexp_extract("file_name", r"orders_(\d{4})", 1)).select("year", "file_name", "value")
+     .write.partitionBy("year", "file_name").text(drop))
+    return read_landing(spark, drop).groupBy("file_name").agg(
+        F.count(F.lit(1)).cast("bigint").alias("row_count"), F.max("row_number").alias("last_row"))
+
+
+def q_rejects_items(spark, sf_dir):
+    """Permissive load: urgent orders come with a quantity that doesn't cast, low ones with items that are no array."""
+    t = load_tables(spark, sf_dir)
+    docs = scenario.initial_documents(t)
+    word = F.regexp_replace("doc", r'"quantity":-?[0-9]+', '"quantity":"two"')
+    text = F.regexp_replace("doc", r'"items":\[.*\],"shipping"', '"items":"none","shipping"')
+    docs = docs.withColumn("doc", F.when(F.col("priority") == "1-URGENT", word).when(F.col("priority") == "5-LOW", text)
+                           .otherwise(F.col("doc")))
+    st = _store(spark, "bad-items")
+    store_pipeline.load_batch(st, scenario.landing_of(docs, 1), strict=False)
+    out = st.current("stg_orders").agg(F.lit("staged orders").alias("outcome"), F.count(F.lit(1)).cast("bigint").alias("row_count"))
+    out = out.unionByName(st.current("stg_order_items").agg(F.lit("staged items").alias("outcome"),
+                                                            F.count(F.lit(1)).cast("bigint").alias("row_count")))
+    return out.unionByName(st.log("rejects").groupBy(F.col("reason").alias("outcome")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("row_count")))
+
+
+def _growing(spark, sf_dir) -> dict:
+    """Finished and partial orders with their fulfilled lines; then partial ones again with their open lines, and open
+    orders for the first time."""
+    t = load_tables(spark, sf_dir)
+    first = order_documents(t, orders_where=F.coalesce(F.col("o_orderstatus") != "O", F.lit(True)),
+                            lines_where=F.col("l_linestatus") == "F", file_prefix="g1/")
+    second = order_documents(t, orders_where=F.col("o_orderstatus").isin("P", "O"),
+                             lines_where=F.coalesce(F.col("l_linestatus") != "F", F.lit(True)), file_prefix="g2/")
+    lat1, lat2 = (_materialized(stage1.latest_orders(scenario.landing_of(d, i))) for i, d in ((1, first), (2, second)))
+    o1, i1 = stage1.staged_orders(lat1), stage1.staged_items(lat1)
+    return dict(o1=o1, i1=i1, o2=merge_upsert(o1, stage1.staged_orders(lat2), ["order_id"]),
+                i2=replace_children(i1, lat2.select("order_id"), stage1.staged_items(lat2), ["order_id"]))
+
+
+def q_growing_merge_counts(spark, sf_dir):
+    return merge_counts(_growing(spark, sf_dir)["o2"]).select("inserted_rows", "updated_rows", "merged_rows")
+
+
+def q_growing_order_changes(spark, sf_dir):
+    r = _growing(spark, sf_dir)
+    ch = net_changes(r["o1"].select("order_id", "status", "file_name"), r["o2"].select("order_id", "status", "file_name"), ["order_id"])
+    return ch.select("order_id", "status", "file_name", "_action", "_is_update")
+
+
+def q_growing_item_changes(spark, sf_dir):
+    r = _growing(spark, sf_dir)
+    return multiset_changes(r["i1"], r["i2"], ["order_id", "order_date", "product_id", "category", "quantity", "unit_price"])
+
+
+def q_distinct_customers(spark, sf_dir):
+    """D-4: distinct rows over several columns of the staged orders."""
+    from starling.operators.dims import distinct_rows
+
+    return distinct_rows(_growing(spark, sf_dir)["o2"], ["customer_id", "loyalty_tier", "segment"])
+
+
+def q_landing_times(spark, sf_dir):
+    """Cast of a document value to a time stamp."""
+    from starling.functions.paths import get_path
+
+    rows = landing_rows(documents_to_files(order_documents(load_tables(spark, sf_dir))))
+    return rows.select(get_path("payload", "$.order_id", "number").alias("order_id"),
+                       get_path("payload", "$.order_date", "timestamp").alias("ordered_at"))
 
 
 def q_audit_steps(spark, sf_dir):
@@ -307,7 +468,8 @@ def q_audit_steps(spark, sf_dir):
 
 
 def q_batch_summary(spark, sf_dir):
-    return diagnostics.batch_summary(_stored_two_batches(spark, sf_dir).audit())
+    st = _stored_two_batches(spark, sf_dir)
+    return diagnostics.batch_summary(st.audit(), st.commits())
 
 
 def q_reset_and_replay(spark, sf_dir):
@@ -331,8 +493,6 @@ def q_compacted_read(spark, sf_dir):
 
 def q_stream_pipeline(spark, sf_dir):
     """Files -> ingest stream -> landing -> transform stream (foreachBatch) -> curated."""
-    from starling.sources.documents import documents_to_files, load_tables
-    from starling.sources.json_files import write_json_array_files
     from starling.streaming.ingest import start_ingest
     from starling.streaming.transform import run_until_drained, start_transform
 
@@ -347,12 +507,9 @@ def q_stream_pipeline(spark, sf_dir):
 
 
 def q_file_listing(spark, sf_dir):
-    from starling.sources.documents import documents_to_files, load_tables
-    from starling.sources.json_files import list_files, write_json_array_files
-
     drop = shared_path(spark, "queries", "listing")
     write_json_array_files(documents_to_files(scenario.initial_documents(load_tables(spark, sf_dir))), drop)
-    return list_files(spark, drop).where(F.col("path").endswith(".txt"))
+    return list_files(spark, drop).where(F.col("path").endswith(".txt")).select("file_name", (F.col("length") > 2).alias("has_rows"))
 
 
 QUERIES.update({
@@ -367,4 +524,18 @@ QUERIES.update({
     "compacted_read": q_compacted_read,
     "stream_pipeline": q_stream_pipeline,
     "file_listing": q_file_listing,
+    "layer_counts_pending": q_layer_counts_pending,
+    "failed_batch_audit": q_failed_batch_audit,
+    "run_history_runs": q_run_history_runs,
+    "batch_then_stream": q_batch_then_stream,
+    "multi_document_rejects": q_multi_document_rejects,
+    "load_history_rejects": q_load_history_rejects,
+    "json_lines_load": q_json_lines_load,
+    "nested_landing": q_nested_landing,
+    "rejects_items": q_rejects_items,
+    "growing_merge_counts": q_growing_merge_counts,
+    "growing_order_changes": q_growing_order_changes,
+    "growing_item_changes": q_growing_item_changes,
+    "distinct_customers": q_distinct_customers,
+    "landing_times": q_landing_times,
 })

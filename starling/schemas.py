@@ -47,7 +47,7 @@ def stg_orders(money: str | T.DecimalType = "number") -> T.StructType:
         _f("shipping_city", T.StringType()), _f("shipping_country", T.StringType()),
         _f("shipping_delivery_type", T.StringType()), _f("status", T.StringType()),
         _f("file_name", T.StringType()), _f("ingested_at_ltz", T.TimestampType()),
-        _f("updated_at_ltz", T.TimestampType()),
+        _f("updated_at_ltz", T.TimestampType()), _f("item_count", T.LongType()),
     ])
 
 
@@ -105,7 +105,9 @@ REJECTS = T.StructType([
 ])
 
 COMMITS = T.StructType([
-    _f("committed_at", T.TimestampType()), _f("query_id", T.StringType()), _f("file_count", T.LongType()),
+    _f("batch_id", T.LongType()), _f("committed_at", T.TimestampType()), _f("query_id", T.StringType()),
+    _f("file_count", T.LongType()), _f("landing_rows", T.LongType()), _f("attempt", T.StringType()),
+    _f("source", T.StringType()), _f("epoch", T.LongType()), _f("tables", T.StringType()),
 ])
 
 # Procedure and audit step names, in the order the steps run.
@@ -114,3 +116,4 @@ STAGE2_PROCEDURE = "SP_STG_TO_CURATED"
 STAGE1_STEPS = ["STREAM_READ_CREATE_TMP", "MERGE_STG_ORDERS", "DELETE_STG_ORDER_ITEMS", "INSERT_STG_ORDER_ITEMS"]
 STAGE2_STEPS = ["STREAM_READ_ORDERS", "STREAM_READ_ORDER_ITEMS", "MERGE_DIM_CUSTOMER", "MERGE_DIM_PRODUCT",
                 "MERGE_FACT_ORDERS", "DELETE_FACT_ORDER_ITEMS", "INSERT_FACT_ORDER_ITEMS"]
+REJECTS_STEP = "ROUTE_REJECTS"          # own step: only in batches that have rejects

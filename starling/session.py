@@ -26,17 +26,17 @@ LOCAL_CONF = {
 
 def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8, app: str = "starling",
                   extra: dict | None = None) -> SparkSession:
-    """A session for tests, the bench and the command line; ``master=None`` keeps the submitter's master."""
+    """A session for tests, the bench and the command line; ``master=None`` takes the submitter's session as it is."""
     builder = SparkSession.builder.appName(app)
+    conf = dict(extra or {})
     if master:
         builder = builder.master(master)
-    conf = dict(LOCAL_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
+        conf = {**LOCAL_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions), **conf}
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if master:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -45,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach, and it is
-    only read here. When it is unset (local tests) a private folder is set.
+    only read here. When it is unset, a private folder is set for a local master
+    (tests); on any other master that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             d = None
     if not d:
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="starling-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(d)   # core config: set on the context, not spark.conf

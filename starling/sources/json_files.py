@@ -1,18 +1,25 @@
-"""JSON-array files -> landing rows.
-
-A file holds one top-level JSON array of order documents (``strip_outer_array``).
-Files are read whole with the ``text`` source (``wholetext``), so each file is
-one task: parallelism comes from the number of files, as with hourly drops.
-Parsing uses ``from_json(value, 'array<variant>')`` (no 128 MiB single-variant
-limit) and ``posexplode`` for the 1-based row number inside the file.
-
-A landing area may be flat (name = file name) or hold one folder per logical
-file, ``file_name=<name>/`` (what ``write_json_array_files`` produces); the
-folder value is then the file name.
+"""JSON files -> landing rows.
+
+Two formats. ``array``: a file holds one top-level JSON array of order documents
+(``strip_outer_array``), or one bare object, or one object per line. Such files
+are read whole (``text`` with ``wholetext``), so each file is one task:
+parallelism comes from the number of files, as with hourly drops. ``lines``: JSON
+Lines files of any size, read line by line through the splittable ``text``
+source.
+
+A parse always covers the whole text: the text is wrapped in brackets, so a
+second root, or anything after the first one, makes it malformed instead of
+being left out. What does not parse becomes a reject row, never nothing.
+
+The landing area is read with all its folders. A file's name is its path below
+the area; a folder ``file_name=<name>/`` (what ``write_json_array_files``
+produces) names its file.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,90 +27,191 @@ REASON_MALFORMED = "malformed JSON"
 REASON_NOT_DOCUMENT = "not a JSON array or object"
 REASON_NULL_DOCUMENT = "null document"
 
+# The file source skips files older than this (relative to the newest seen); a hundred years skips none.
+MAX_FILE_AGE = "36500d"
+# Lines of one split fit in this many bits of a row number; the split's byte offset stands above them.
+LINE_BITS = 27
+
+
+def _reader(spark: SparkSession, streaming: bool, max_files_per_trigger: int | None):
+    reader = (spark.readStream if streaming else spark.read).format("text").option("recursiveFileLookup", True)
+    if streaming:
+        reader = reader.option("maxFileAge", MAX_FILE_AGE)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader
+
 
 def read_files(spark: SparkSession, path: str, streaming: bool = False,
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Whole-file text rows ``(file_name, value)`` from a landing folder."""
-    reader = spark.readStream if streaming else spark.read
-    reader = reader.format("text").option("wholetext", True)
-    if streaming and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    df = reader.load(path)
-    return df.select(_file_name(df).alias("file_name"), "value")
+    """Whole-file text rows ``(file_name, value)`` from a landing area and all its folders."""
+    df = _reader(spark, streaming, max_files_per_trigger).option("wholetext", True).load(path)
+    return df.select(logical_name(F.col("_metadata.file_path"), path).alias("file_name"), "value")
+
+
+def read_lines(spark: SparkSession, path: str, streaming: bool = False,
+               max_files_per_trigger: int | None = None) -> DataFrame:
+    """JSON Lines ``(file_name, row_number, value)``, blank lines left out; large files are split between tasks.
+
+    ``row_number`` grows with the line's place in its file and is unique there: the byte offset of the task's split
+    and the running number of the row in the task. It starts at 1 for a file that a task reads alone.
+    """
+    df = _reader(spark, streaming, max_files_per_trigger).load(path)
+    rows = df.select(logical_name(F.col("_metadata.file_path"), path).alias("file_name"),
+                     F.shiftleft(F.col("_metadata.file_block_start"), LINE_BITS).alias("row_number"), "value")
+    if streaming:       # streams have no running row id of their own
+        rows = rows.mapInArrow(_numbered, rows.schema)
+    else:
+        in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        rows = rows.withColumn("row_number", F.col("row_number") + in_task + 1)
+    return rows.where(F.trim("value") != "")
+
+
+def _numbered(batches):
+    """Add the running number of each row in the task to ``row_number``."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
+    seen = 0
+    for batch in batches:
+        number = pc.add(batch.column("row_number"), pa.array(range(seen + 1, seen + batch.num_rows + 1), pa.int64()))
+        seen += batch.num_rows
+        yield pa.RecordBatch.from_arrays([batch.column("file_name"), number, batch.column("value")], names=batch.schema.names)
 
-def _file_name(df: DataFrame) -> Column:
-    meta = F.col("_metadata.file_name")
-    if "file_name" in df.columns:
-        return F.coalesce(F.col("file_name").cast("string"), meta)
-    return meta
+
+def _decoded(text: Column) -> Column:
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
+def logical_name(file_path: Column, root: str) -> Column:
+    """The path below ``root``, or the value of a last folder ``file_name=<name>``."""
+    below = "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).strip("/") + "/"
+    path = _decoded(file_path)
+    folder = F.regexp_extract(path, r"/file_name=([^/]+)/[^/]*$", 1)
+    at = F.instr(path, below)
+    relative = F.when(at > 0, F.substr(path, at + len(below))).otherwise(F.substring_index(path, "/", -1))
+    return F.when(folder != "", _decoded(folder)).otherwise(relative)
+
+
+def _one_root(text: Column, schema: str) -> Column:
+    """The single root value of a text as ``schema``; NULL when the text holds anything else."""
+    roots = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{schema}>")
+    return F.when(F.size(roots) == 1, F.get(roots, F.lit(0)))
+
+
+def _is_object(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+
+
+def _reason_of_value(value: Column) -> Column:
+    """Why a parsed root is no document (NULL when it is one)."""
+    return (F.when(value.isNull(), REASON_MALFORMED).when(F.is_variant_null(value), REASON_NULL_DOCUMENT)
+            .when(~_is_object(value), REASON_NOT_DOCUMENT))
+
+
+def _strictly(reason: Column, strict: bool) -> Column:
+    """In strict mode text that is no JSON fails the load instead of becoming a reject."""
+    if not strict:
+        return reason
+    return F.when(reason == REASON_MALFORMED, F.raise_error(F.lit(REASON_MALFORMED)).cast("string")).otherwise(reason)
 
 
 def parse_json_arrays(files: DataFrame, strict: bool = False) -> DataFrame:
     """``(file_name, value)`` -> ``(file_name, row_number, payload, reject_reason, raw)``.
 
-    One generator pass per file. A file that is a JSON array yields one row per
-    element; a file holding one bare object yields one row; anything else yields
-    one reject row carrying the whole text (never silently dropped). ``strict``
-    raises on malformed text instead (FAILFAST).
+    One generator pass per file. A file that is one JSON array yields one row per
+    element, one bare object one row. A file whose first line is an object of its own
+    yields one row per line that isn't blank (a line that is no object: a reject with that
+    line). Anything else (several arrays, text after the root, no JSON) yields one reject row
+    carrying the whole text. An array or text without content yields no row. ``strict`` raises
+    on text that is no JSON.
     """
-    opts = {"mode": "FAILFAST"} if strict else {}
-    arr = F.from_json(F.col("value"), "array<variant>", opts)
-    staged = files.select("file_name", "value", arr.alias("_arr"))
-    # everything derived from the whole text is settled before the generator, so the text itself
-    # (one file) is never copied into each exploded row: only ``_raw`` crosses it, NULL for good files
-    staged = staged.select(
-        "file_name", "_arr",
-        F.when(F.col("_arr").isNull(), F.try_parse_json(F.col("value"))).alias("_one"),
-        F.when(F.col("_arr").isNull(), F.col("value")).alias("_raw"))
-    is_object = F.schema_of_variant(F.col("_one")).startswith("OBJECT")
-    docs = F.when(F.col("_arr").isNotNull(), F.col("_arr")).when(is_object, F.array(F.col("_one")))
-    reason_if_not_docs = (F.when(F.col("_arr").isNotNull(), F.lit(None).cast("string"))
-                          .when(F.col("_one").isNull(), F.lit(REASON_MALFORMED))
-                          .when(~is_object, F.lit(REASON_NOT_DOCUMENT)))
-    per_file = staged.select(
-        "file_name", F.when(~is_object | F.col("_one").isNull(), F.col("_raw")).alias("_raw"),
-        reason_if_not_docs.alias("_file_reason"), docs.alias("_docs"))
-    exploded = per_file.select("file_name", "_raw", "_file_reason",
-                               F.posexplode_outer("_docs").alias("_pos", "payload"))
-    # posexplode_outer of an empty array gives one all-NULL row: an empty file, not a reject.
-    kept = exploded.where(F.col("_pos").isNotNull() | F.col("_file_reason").isNotNull())
-    reason = F.coalesce(F.col("_file_reason"),
-                        F.when(F.col("payload").isNull() | F.is_variant_null(F.col("payload")),
-                               F.lit(REASON_NULL_DOCUMENT)))
-    return kept.select(
-        "file_name",
-        F.coalesce(F.col("_pos") + 1, F.lit(0)).cast("bigint").alias("row_number"),
-        F.col("payload"),
-        reason.alias("reject_reason"),
-        F.when(F.col("_pos").isNull(), F.col("_raw")).alias("raw"),
-    )
+    value = F.col("value")
+    staged = files.where(F.trim(value, F.lit(" \r\n\t")) != "").select(
+        "file_name", "value", _one_root(value, "array<variant>").alias("_array"))
+    staged = staged.select("file_name", "_array", F.when(F.col("_array").isNull(), value).alias("_text"))
+    staged = staged.select("*", _one_root(F.col("_text"), "variant").alias("_root"))
+    # only a text that is no single root can hold one object per line
+    lines = F.filter(F.split(F.when(F.col("_root").isNull(), F.col("_text")), "\r?\n"), lambda x: F.trim(x) != "")
+    staged = staged.select("file_name", "_array", "_text", "_root", lines.alias("_lines"))
+    by_line = _is_object(_one_root(F.get("_lines", F.lit(0)), "variant"))
+    row = "struct<payload variant, reason string, raw string>"
+
+    def made(payload, reason, raw):
+        return F.struct(payload.alias("payload"), reason.alias("reason"), raw.alias("raw")).cast(row)
+
+    none = F.lit(None).cast("string")
+    of_array = F.transform("_array", lambda x: made(
+        x, F.when(x.isNull() | F.is_variant_null(x), REASON_NULL_DOCUMENT).otherwise(none), none))
+
+    def of_line(x):
+        root = _one_root(x, "variant")
+        reason = _reason_of_value(root)
+        return made(root, reason, F.when(reason.isNotNull(), x))
+
+    reason = _reason_of_value(F.col("_root"))
+    rows = (F.when(F.col("_array").isNotNull(), of_array).when(by_line, F.transform("_lines", of_line))
+            .otherwise(F.array(made(F.col("_root"), reason, F.when(reason.isNotNull(), F.col("_text"))))))
+    out = staged.select("file_name", F.posexplode(rows).alias("_pos", "_row"))
+    # the row number of a reject that stands for a whole file is 0
+    whole = F.col("_row.raw").isNotNull() & (F.col("_row.reason") != REASON_NULL_DOCUMENT) & (F.col("_pos") == 0)
+    return out.select(
+        "file_name", F.when(whole, 0).otherwise(F.col("_pos") + 1).cast("bigint").alias("row_number"),
+        F.when(F.col("_row.reason").isNull() | (F.col("_row.reason") == REASON_NULL_DOCUMENT), F.col("_row.payload")).alias("payload"),
+        _strictly(F.col("_row.reason"), strict).alias("reject_reason"), F.col("_row.raw").alias("raw"))
+
+
+def parse_json_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
+    """``(file_name, row_number, value)`` of JSON Lines -> the columns of ``parse_json_arrays``, one row per line."""
+    rows = lines.select("file_name", "row_number", "value", _one_root(F.col("value"), "variant").alias("_root"))
+    reason = _reason_of_value(F.col("_root"))
+    return rows.select("file_name", "row_number", F.when(reason.isNull(), F.col("_root")).alias("payload"),
+                       _strictly(reason, strict).alias("reject_reason"), F.when(reason.isNotNull(), F.col("value")).alias("raw"))
+
+
+def read_landing(spark: SparkSession, path: str, fmt: str = "array", streaming: bool = False,
+                 max_files_per_trigger: int | None = None, strict: bool = False) -> DataFrame:
+    """Landing rows of an area in either format."""
+    if fmt not in ("array", "lines"):
+        raise ValueError(f"unknown format {fmt!r}")
+    read = read_files if fmt == "array" else read_lines
+    return landing_rows(read(spark, path, streaming, max_files_per_trigger), strict=strict)
 
 
 def landing_rows(files: DataFrame, load_ts: Column | None = None, strict: bool = False) -> DataFrame:
     """A2: file lineage projection ``(file_name, row_number, load_ts, payload, ...)``."""
-    parsed = parse_json_arrays(files, strict=strict)
+    parse = parse_json_lines if "row_number" in files.columns else parse_json_arrays
+    parsed = parse(files, strict=strict)
     ts = F.current_timestamp() if load_ts is None else load_ts
     return parsed.select("file_name", "row_number", ts.cast("timestamp").alias("load_ts"),
                          "payload", "reject_reason", "raw")
 
 
-def load_once(spark: SparkSession, source: str, landing: str, strict: bool = False) -> DataFrame:
-    """A3: one-shot batch load of every file in ``source``, appended to ``landing``."""
-    rows = landing_rows(read_files(spark, source), strict=strict)
-    rows.write.mode("append").parquet(landing)
-    return spark.read.parquet(landing)
+def load_once(spark: SparkSession, source: str, landing: str, strict: bool = False, fmt: str = "array",
+              checkpoint: str | None = None) -> DataFrame:
+    """A3: load every file of ``source`` that ``landing`` does not hold yet; a second call adds only new files.
+
+    The checkpoint beside the table remembers the files; it is the one that a continuous load of the same table uses.
+    """
+    rows = read_landing(spark, source, fmt, streaming=True, strict=strict)
+    query = (rows.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+             .option("checkpointLocation", checkpoint or f"{landing.rstrip('/')}_checkpoint").option("path", landing).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.schema(rows.schema).parquet(landing)
 
 
-def query_files(spark: SparkSession, source: str) -> DataFrame:
+def query_files(spark: SparkSession, source: str, fmt: str = "array") -> DataFrame:
     """Ad-hoc look at documents straight from files, nothing written."""
-    return landing_rows(read_files(spark, source))
+    return read_landing(spark, source, fmt)
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Listing of the landing area; file contents are never read."""
+    """Listing of the landing area with each file's logical name; file contents are never read."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return df.select("path", "length", "modificationTime")
+    return df.select("path", "length", "modificationTime",
+                     logical_name(F.col("_metadata.file_path"), path).alias("file_name"))
 
 
 def write_json_array_files(files: DataFrame, path: str) -> None:

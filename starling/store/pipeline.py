@@ -5,23 +5,25 @@ loads call directly. Order of work for batch N:
 
 1. ``begin``: drop partial output of an earlier failed attempt of N;
 2. stage 1 (raw -> staged), stage 2 (staged -> curated), each step's affected
-   row count taken from the write itself (``Observation``) or from a small
-   join against the batch's keys. Work runs in three phases so no table is
-   ever read while it is being written: (A) counts over the committed state,
-   (B) the staged writes, (C) the curated writes; inside a phase the jobs are
-   independent and run concurrently (``concurrent=True``, or automatically
-   for batches of at most ``CONCURRENT_MAX_ROWS`` orders, which cannot keep
-   a cluster busy one job at a time). Audit rows are recorded in step order;
+   row count taken from the write itself (``Observation``) or from the committed
+   versions of the batch's orders, which carry their number of items. Work runs
+   in three phases so no table is ever read while it is being written: (A) prior
+   versions, (B) the staged writes, (C) the curated writes; inside a phase the
+   jobs are independent and run concurrently unless ``concurrent=False``. Each
+   step is recorded when it is done, with its own time;
 3. the batch's audit rows, one append;
-4. the commit row, last. A batch already committed is skipped (a replayed
-   epoch after a crash between our commit and the stream's own commit).
+4. the commit row, last, with the stream and epoch the rows came from. An epoch
+   that was committed is skipped (a replay after a crash between our commit and
+   the stream's own), whatever number its batch got.
 
-On error a FAILED audit row (step, message) is appended and the error is
-raised again, so the stream stops and retries batch N from its checkpoint.
+On error the steps done so far and a FAILED row (step, whole message) are
+appended and the error is raised again, so the stream stops and retries the
+epoch from its checkpoint.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -33,39 +35,54 @@ from starling import schemas as S
 from starling.plans import stage1, stage2
 from starling.store.tables import Store
 
-_FAIL_FOR_TESTS = "starling.fail_after_step"
-# batches up to this many orders run their independent jobs concurrently (concurrent=None)
-CONCURRENT_MAX_ROWS = 1_000_000
-
-
-class InjectedFailure(RuntimeError):
-    pass
+STEP_ORDER = [S.STAGE1_STEPS[0], S.REJECTS_STEP, *S.STAGE1_STEPS[1:], *S.STAGE2_STEPS]
+
+
+class _Audit:
+    """Steps of one attempt, recorded as they end."""
+
+    def __init__(self, query_id: str):
+        self.query_id, self.attempt = query_id, uuid.uuid4().hex[:12]
+        self.file_name, self.file_count = None, 0
+        self.steps: dict[str, tuple] = {}
+        self.seconds: dict[str, float] = {}
+
+    def run(self, step: str, fn):
+        """Run ``fn`` as ``step``; its result is the affected row count."""
+        start = time.perf_counter()
+        try:
+            rows = fn()
+        except Exception as e:
+            self.steps[step] = (dt.datetime.now(), None, "FAILED", f"{type(e).__name__}: {e}")
+            raise
+        self.done(step, rows)
+        self.seconds[step] = round(time.perf_counter() - start, 3)
+        return rows
+
+    def done(self, step: str, rows: int) -> None:
+        self.steps[step] = (dt.datetime.now(), rows, "SUCCESS", None)
+
+    def rows(self) -> list[tuple]:
+        out = []
+        for step in STEP_ORDER:
+            if step in self.steps:
+                ts, n, status, error = self.steps[step]
+                procedure = S.STAGE2_PROCEDURE if step in S.STAGE2_STEPS else S.STAGE1_PROCEDURE
+                out.append((len(out) + 1, self.file_name, procedure, step, ts, n, status, error, self.query_id,
+                            self.file_count, self.attempt))
+        return out
 
+    def counts(self) -> dict:
+        return {step: v[1] for step, v in self.steps.items()}
 
-def _parallel(ctx: dict, tasks: dict) -> dict:
-    """Run independent steps, as concurrent Spark jobs when ``ctx["concurrent"]``; re-raise the first failure.
 
-    Concurrency pays off when a batch is too small to occupy the cluster; a big batch's jobs
-    already use every core, so they run one after the other. On failure ``ctx["step"]`` names
-    the step that failed, for the FAILED audit row.
-    """
-    out, errors = {}, []
-    if not ctx.get("concurrent"):
-        for name, fn in tasks.items():
-            ctx["step"] = name
-            out[name] = fn()
-        return out
+def _phase(audit: _Audit, tasks: dict, concurrent: bool) -> dict:
+    """Run independent steps, as concurrent Spark jobs or one after the other; raise the first failure in step order."""
+    if not concurrent:
+        return {step: audit.run(step, fn) for step, fn in tasks.items()}
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
-        for name, fut in futures.items():
-            try:
-                out[name] = fut.result()
-            except Exception as e:  # keep the first failure in step order
-                errors.append((name, e))
-    if errors:
-        ctx["step"] = errors[0][0]
-        raise errors[0][1]
-    return out
+        futures = {step: pool.submit(audit.run, step, fn) for step, fn in tasks.items()}
+    return {step: f.result() for step, f in futures.items()}
 
 
 def _write_counted(store: Store, table: str, df: DataFrame, batch_id: int) -> int:
@@ -74,138 +91,94 @@ def _write_counted(store: Store, table: str, df: DataFrame, batch_id: int) -> in
     return int(obs.get.get("n", 0) or 0)
 
 
-def run_batch(store: Store, landing: DataFrame, batch_id: int, query_id: str | None = None,
-              strict: bool = True, strict_dims: bool = False, fail_after: str | None = None,
-              concurrent: bool | None = None) -> dict:
-    spark = store.spark
-    if batch_id <= store.last_commit():
+def run_batch(store: Store, landing: DataFrame, batch_id: int | None = None, query_id: str | None = None,
+              strict: bool = True, strict_dims: bool = False, concurrent: bool = True, source: str | None = None,
+              epoch: int | None = None) -> dict:
+    """Process ``landing`` as the next batch (or as ``batch_id``, skipped if that one is committed)."""
+    last = store.last_commit()
+    if source is not None and store.has_epoch(source, epoch):
+        return {"batch_id": None, "skipped": True}
+    if batch_id is None:
+        batch_id = last + 1
+    elif batch_id <= last:
         return {"batch_id": batch_id, "skipped": True}
-    query_id = query_id or f"batch:{batch_id}"
-    fail_after = fail_after or spark.conf.get(_FAIL_FOR_TESTS, None)
     money = store.money
-    attempt = uuid.uuid4().hex[:12]
+    audit = _Audit(query_id or f"batch:{batch_id}")
     store.begin(batch_id)
-    audit: list[tuple] = []
-    counts: dict[str, int] = {}
-    timings: dict[str, float] = {}
-    clock = [time.perf_counter()]
-    ctx = {"file_name": None, "file_count": 0, "step": None, "procedure": S.STAGE1_PROCEDURE,
-           "concurrent": concurrent}
-
-    def record(step: str, rows: int | None, status: str = "SUCCESS", error: str | None = None):
-        audit.append((None, ctx["file_name"], ctx["procedure"], step, None, rows, status, error, query_id,
-                      ctx["file_count"], attempt))
-        counts[step] = rows
-        t = time.perf_counter()
-        timings[step] = round(t - clock[0], 3)
-        clock[0] = t
-        if status == "SUCCESS" and fail_after == step:
-            raise InjectedFailure(f"injected failure after {step}")
-
     # the landing batch is a Parquet read (landing table or its stream), cheap to scan twice; only
     # ``latest`` (after the shuffle of the latest-version window) is cached for its four consumers
-    latest = prior_versions = None
+    latest = prior = None
+    landed = 0
     try:
         # ------------------------------------------------ stage 1
-        ctx["step"] = "STREAM_READ_CREATE_TMP"
-        # rejects are counted while the latest versions are computed (no extra pass)
-        rej_obs = Observation(f"rejects_{batch_id}_{uuid.uuid4().hex[:6]}")
+        # all rows and rejects are counted while the latest versions are computed (no extra pass)
+        obs = Observation(f"landing_{batch_id}_{uuid.uuid4().hex[:6]}")
         keyed = stage1.with_key(landing, strict).observe(
-            rej_obs, F.count(stage1.reject_reason(strict, money)).alias("n"))
+            obs, F.count(stage1.reject_reason(strict, money)).alias("rejects"), F.count(F.lit(1)).alias("rows"))
         latest = stage1.latest_orders(keyed, strict, money).persist()
-        st = latest.agg(F.count(F.lit(1)).alias("n"), F.max("file_name").alias("f"),
-                        F.count_distinct("file_name").alias("fc"),
-                        F.min("order_id").alias("lo"), F.max("order_id").alias("hi")).first()
-        ctx["file_name"], ctx["file_count"] = st["f"], int(st["fc"])
-        key_range = (st["lo"], st["hi"])
-        n_rejects = int(rej_obs.get.get("n", 0) or 0)
-        if concurrent is None:   # small batches leave the cluster idle between jobs: overlap them
-            ctx["concurrent"] = int(st["n"]) <= CONCURRENT_MAX_ROWS
-        prior = store.last_commit()
-        keys = latest.select("order_id")
-        # committed version of every order of the batch that existed before: one pass over the key column
-        prior_versions = store.versions("stg_orders", prior, keys, key_range).persist()
-
-        # phase A, reads of committed state only (batch_id <= prior), folded into one job: how many
-        # orders of the batch existed, and how many staged / fact items their current versions hold
-        def count_of(label, df):
-            return df.agg(F.lit(label).alias("k"), F.count(F.lit(1)).cast("bigint").alias("n"))
-
-        phase_a = (count_of("updated", prior_versions)
-                   .unionByName(count_of("stg", store.children_of("stg_order_items", prior_versions, prior,
-                                                                  key_range=key_range)))
-                   .unionByName(count_of("fact", store.children_of("fact_order_items", prior_versions, prior,
-                                                                   key_range=key_range))))
-        out_a = {r["k"]: int(r["n"]) for r in phase_a.collect()}     # three rows
-        updated, deleted = out_a["updated"], out_a["stg"]
-
-        # phase B, the staged writes of this batch (distinct tables)
-        rejects = stage1.rejected_rows(landing, strict, money)
-        writes_b = {
-            "MERGE_STG_ORDERS": lambda: _write_counted(store, "stg_orders",
-                                                       stage1.staged_orders(latest, money, strict), batch_id),
-            "INSERT_STG_ORDER_ITEMS": lambda: _write_counted(store, "stg_order_items",
-                                                             stage1.staged_items(latest, money, strict), batch_id),
-        }
+        found: dict = {}
+
+        def read_batch() -> int:
+            found.update(latest.agg(F.count(F.lit(1)).alias("n"), F.max("file_name").alias("f"),
+                                    F.count_distinct("file_name").alias("fc"), F.min("order_id").alias("lo"),
+                                    F.max("order_id").alias("hi")).first().asDict())
+            return int(found["n"])
+
+        n = audit.run(S.STAGE1_STEPS[0], read_batch)
+        audit.file_name, audit.file_count = found["f"], int(found["fc"])
+        landed, n_rejects = int(obs.get.get("rows", 0) or 0), int(obs.get.get("rejects", 0) or 0)
         if n_rejects:
-            writes_b["STREAM_READ_CREATE_TMP"] = lambda: _write_counted(store, "rejects", rejects, batch_id)
-        out_b = _parallel(ctx, writes_b)
-        merged, inserted = out_b["MERGE_STG_ORDERS"], out_b["INSERT_STG_ORDER_ITEMS"]
-        record("STREAM_READ_CREATE_TMP", int(st["n"]))
-        ctx["step"] = "MERGE_STG_ORDERS"
-        record("MERGE_STG_ORDERS", merged)
-        ctx["step"] = "DELETE_STG_ORDER_ITEMS"
-        record("DELETE_STG_ORDER_ITEMS", deleted)
-        ctx["step"] = "INSERT_STG_ORDER_ITEMS"
-        record("INSERT_STG_ORDER_ITEMS", inserted)
-
-        # ------------------------------------------------ stage 2 (I10), same batch
-        ctx["procedure"] = S.STAGE2_PROCEDURE
-        tmp_orders = store.batch("stg_orders", batch_id)
-        tmp_items = store.batch("stg_order_items", batch_id)
-        ctx["step"] = "STREAM_READ_ORDERS"
-        record("STREAM_READ_ORDERS", merged + updated)          # insert images + delete/insert pairs
-        ctx["step"] = "STREAM_READ_ORDER_ITEMS"
-        record("STREAM_READ_ORDER_ITEMS", deleted + inserted)   # delete images + insert images
-
-        # phase C, the curated writes of this batch (distinct tables, reading the staged batch)
-        out_c = _parallel(ctx, {
-            "MERGE_DIM_CUSTOMER": lambda: _write_counted(
-                store, "dim_customer", stage2.dim_customer_source(tmp_orders, strict_dims), batch_id),
-            "MERGE_DIM_PRODUCT": lambda: _write_counted(
-                store, "dim_product", stage2.dim_product_source(tmp_items, strict_dims), batch_id),
-            "MERGE_FACT_ORDERS": lambda: _write_counted(
-                store, "fact_orders", stage2.fact_orders_source(tmp_orders), batch_id),
-            "INSERT_FACT_ORDER_ITEMS": lambda: _write_counted(
-                store, "fact_order_items", stage2.fact_items_source(tmp_items), batch_id),
-        })
-        out_c["DELETE_FACT_ORDER_ITEMS"] = out_a["fact"]
-        for step in S.STAGE2_STEPS[2:]:
-            ctx["step"] = step
-            record(step, out_c[step])
-
-        store.append_audit(_stamp(audit), batch_id)
-        store.commit(batch_id, query_id, ctx["file_count"])
+            rejects = stage1.rejected_rows(landing, strict, money)
+            audit.run(S.REJECTS_STEP, lambda: _write_counted(store, "rejects", rejects, batch_id))
+        if n == 0:
+            for step in STEP_ORDER:
+                if step not in audit.steps and step != S.REJECTS_STEP:
+                    audit.done(step, 0)
+        else:
+            # phase A: committed version of every order of the batch that existed before, with its number of items
+            prior = store.prior_orders(latest.select("order_id"), (found["lo"], found["hi"]), n)
+            updated, deleted = (int(x or 0) for x in prior.agg(F.count(F.lit(1)), F.sum("item_count")).first())
+
+            # phase B, the staged writes of this batch (distinct tables)
+            out = _phase(audit, {
+                "MERGE_STG_ORDERS": lambda: _write_counted(
+                    store, "stg_orders", stage1.staged_orders(latest, money, strict), batch_id),
+                "INSERT_STG_ORDER_ITEMS": lambda: _write_counted(
+                    store, "stg_order_items", stage1.staged_items(latest, money, strict), batch_id),
+            }, concurrent)
+            merged, inserted = out["MERGE_STG_ORDERS"], out["INSERT_STG_ORDER_ITEMS"]
+            audit.done("DELETE_STG_ORDER_ITEMS", deleted)
+
+            # ------------------------------------------------ stage 2 (I10), same batch
+            tmp_orders = store.batch("stg_orders", batch_id)
+            tmp_items = store.batch("stg_order_items", batch_id)
+            audit.done("STREAM_READ_ORDERS", merged + updated)          # insert images + delete/insert pairs
+            audit.done("STREAM_READ_ORDER_ITEMS", deleted + inserted)   # delete images + insert images
+
+            # phase C, the curated writes of this batch (distinct tables, reading the staged batch)
+            _phase(audit, {
+                "MERGE_DIM_CUSTOMER": lambda: _write_counted(
+                    store, "dim_customer", stage2.dim_customer_source(tmp_orders, strict_dims), batch_id),
+                "MERGE_DIM_PRODUCT": lambda: _write_counted(
+                    store, "dim_product", stage2.dim_product_source(tmp_items, strict_dims), batch_id),
+                "MERGE_FACT_ORDERS": lambda: _write_counted(
+                    store, "fact_orders", stage2.fact_orders_source(tmp_orders), batch_id),
+                "INSERT_FACT_ORDER_ITEMS": lambda: _write_counted(
+                    store, "fact_order_items", stage2.fact_items_source(tmp_items), batch_id),
+            }, concurrent)
+            audit.done("DELETE_FACT_ORDER_ITEMS", deleted)      # fact items mirror the staged items of each version
+        store.append_audit(audit.rows(), batch_id)
+        store.commit(batch_id, audit.query_id, audit.file_count, landed, audit.attempt, source, epoch)
     except Exception as e:
-        if not audit or audit[-1][6] != "FAILED":
-            audit.append((None, ctx["file_name"], ctx["procedure"], ctx["step"], None, None, "FAILED",
-                          f"{type(e).__name__}: {e}"[:4000], query_id, ctx["file_count"], attempt))
-        store.append_audit(_stamp(audit), batch_id)
+        if not any(v[2] == "FAILED" for v in audit.steps.values()):     # between two steps
+            step = next((s for s in STEP_ORDER if s not in audit.steps and s != S.REJECTS_STEP), STEP_ORDER[-1])
+            audit.steps[step] = (dt.datetime.now(), None, "FAILED", f"{type(e).__name__}: {e}")
+        store.append_audit(audit.rows(), batch_id)
         raise
     finally:
-        for df in (latest, prior_versions):
-            if df is not None:
-                df.unpersist()
-    return {"batch_id": batch_id, "skipped": False, **counts, "seconds": timings}
-
-
-def _stamp(rows: list[tuple]) -> list[tuple]:
-    """Deterministic audit ids (batch-local step number) and the event time."""
-    import datetime as dt
-
-    now = dt.datetime.now()
-    return [(i + 1, r[1], r[2], r[3], now, r[5], r[6], r[7], r[8], r[9], r[10]) for i, r in enumerate(rows)]
-
+        if latest is not None:
+            latest.unpersist()
+    return {"batch_id": batch_id, "skipped": False, **audit.counts(), "seconds": audit.seconds}
 
 
 def load_batch(store: Store, landing: DataFrame, batch_id: int | None = None, **kw) -> dict:

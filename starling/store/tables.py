@@ -2,21 +2,22 @@
 
 Plain Parquet has no MERGE or DELETE, so every state table is a log:
 
-* a batch writes only its own ``batch_id=N`` partition (dynamic partition
-  overwrite), so a retried batch replaces its own output and nothing else;
-* before a batch starts, any partial output it left from a failed attempt is
-  removed (a retry that writes fewer tables must not keep stale partitions);
-* ``commits`` gets one row per batch, written last; every reader filters
-  ``batch_id <= last commit``, which makes a batch visible in all tables at
-  once (all-or-nothing, D6);
+* a batch writes only its own ``batch_id=N`` folders, each removed first, so a
+  retried batch replaces its own output (also with nothing) and nothing else;
+* ``commits`` gets one row per batch, written last, with the tables that the
+  batch wrote; readers open the folders of committed batches by name, which
+  makes a batch visible in all tables at once (all-or-nothing, D6) and lists no
+  other folder;
+* a row also names the stream and epoch it came from, so a replayed epoch is
+  known whatever its batch number;
 * current orders/dimensions = latest row per key over the log; current items =
   the item rows of each order's latest version (an order re-sent without items
   has a version with no item rows, so its items are gone, D8);
 * ``compact`` rewrites the current state as a base snapshot so reads stop
   growing with the number of batches.
 
-Per-batch cost is proportional to the batch plus one key-column pass over the
-state; nothing is rewritten except by compaction.
+One writer per state; any number of readers. Only an instance that has committed
+keeps the commit rows in memory, so readers always see the latest commit.
 """
 
 from __future__ import annotations
@@ -63,8 +64,7 @@ class Store:
         }
         for t in self.schemas:
             self._mkdirs(self.path(t))
-        self._last: int | None = None      # this writer's view of the last commit
-        self._bases: dict[int, int | None] = {}
+        self._commits: list | None = None      # the commit rows, once this instance is the writer
 
     # ------------------------------------------------------------ paths / fs
     def path(self, table: str) -> str:
@@ -98,29 +98,39 @@ class Store:
         return bool(fs.exists(p))
 
     # ------------------------------------------------------------ reads
+    def _read(self, table: str, batches: list[int]) -> DataFrame:
+        """The given batches' folders, by name."""
+        schema = _with_batch(self.schemas[table])
+        if not batches:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.path(table)}/{BATCH}={b}" for b in batches]
+        return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
+
+    def _batches(self, table: str, after: int | None, upto: int) -> list[int]:
+        """Committed batches in ``(after, upto]`` that wrote ``table``."""
+        return sorted(r["batch_id"] for r in self.commit_rows()
+                      if r["batch_id"] <= upto and (after is None or r["batch_id"] > after) and table in r["tables"].split(","))
+
     def log(self, table: str, upto: int | None = None, after: int | None = None) -> DataFrame:
-        """Rows of ``table`` for batches in ``(after, upto]`` (partition pruned)."""
+        """Rows of ``table`` for committed batches in ``(after, upto]``; without ``upto`` up to the last commit."""
         upto = self.last_commit() if upto is None else upto
         base_v = self.base_version(upto) if table in KEYS or table in CHILDREN else None
-        schema = _with_batch(self.schemas[table])
-        df = self.spark.read.schema(schema).parquet(self.path(table)).where(F.col(BATCH) <= upto)
-        lo = after
-        if base_v is not None and (after is None or after < base_v):
-            lo = base_v
-        if lo is not None:
-            df = df.where(F.col(BATCH) > lo)
-        if base_v is not None and (after is None or after < base_v):
-            base = self.spark.read.schema(_with_batch(self.schemas[table], True)).parquet(
-                f"{self.root}/_base/v={base_v}/{table}")
-            if after is not None:
-                base = base.where(F.col(BATCH) > after)
-            df = base.unionByName(df)
-        return df
+        if base_v is None or (after is not None and after >= base_v):
+            return self._read(table, self._batches(table, after, upto))
+        base = self._base(table, base_v)
+        if after is not None:
+            base = base.where(F.col(BATCH) > after)
+        return base.unionByName(self._read(table, self._batches(table, base_v, upto)))
 
     def batch(self, table: str, batch_id: int) -> DataFrame:
-        """One batch's partition, committed or not (the batch's own change rows)."""
+        """One batch's rows, committed or not (the batch's own change rows)."""
+        there = self.exists(f"{self.path(table)}/{BATCH}={batch_id}")
+        return self._read(table, [batch_id] if there else [])
+
+    def uncommitted(self, table: str) -> DataFrame:
+        """Rows of batches after the last commit: landed or staged, not yet visible."""
         schema = _with_batch(self.schemas[table])
-        return self.spark.read.schema(schema).parquet(self.path(table)).where(F.col(BATCH) == batch_id)
+        return self.spark.read.schema(schema).parquet(self.path(table)).where(F.col(BATCH) > self.last_commit())
 
     def current(self, table: str, upto: int | None = None) -> DataFrame:
         """Current rows of a keyed table (latest version per key) or of a child table.
@@ -144,8 +154,7 @@ class Store:
             f"{self.root}/_base/v={base_v}/{table}")
 
     def _tail(self, table: str, base_v: int, upto: int) -> DataFrame:
-        df = self.spark.read.schema(_with_batch(self.schemas[table])).parquet(self.path(table))
-        return df.where((F.col(BATCH) > base_v) & (F.col(BATCH) <= upto))
+        return self._read(table, self._batches(table, base_v, upto))
 
     def _current_from_base(self, table: str, base_v: int, upto: int) -> DataFrame:
         from starling.operators.joins import bounded_broadcast
@@ -178,6 +187,15 @@ class Store:
             log = log.join(keys.select("order_id"), "order_id", "left_semi")
         return log.groupBy("order_id").agg(F.max(BATCH).alias(BATCH))
 
+    def prior_orders(self, keys: DataFrame, key_range: tuple | None, known_rows: int | None = None) -> DataFrame:
+        """``order_id, batch_id, item_count`` of the committed version of each of ``keys`` that exists."""
+        from starling.operators.joins import bounded_broadcast
+
+        log = _in_range(self.log("stg_orders").select("order_id", BATCH, "item_count"), key_range)
+        log = log.join(bounded_broadcast(keys.select("order_id"), known_rows), "order_id", "left_semi")
+        latest = log.groupBy("order_id").agg(F.max(F.struct(BATCH, "item_count")).alias("v"))
+        return latest.select("order_id", f"v.{BATCH}", "v.item_count")
+
     def current_children(self, table: str, upto: int | None = None, keys: DataFrame | None = None) -> DataFrame:
         """Item rows of each order's latest version (optionally only for ``keys``)."""
         parent = CHILDREN[table]
@@ -230,24 +248,27 @@ class Store:
         return loads
 
     # ------------------------------------------------------------ commits
-    def last_commit(self, refresh: bool = False) -> int:
-        """Greatest committed batch id (-1 when empty); cached after the first read or commit."""
-        if self._last is None or refresh:
-            df = self.spark.read.schema(_with_batch(S.COMMITS)).parquet(self.path("commits"))
-            v = df.agg(F.max(BATCH)).first()[0]
-            self._last = -1 if v is None else int(v)
-        return self._last
+    def commits(self) -> DataFrame:
+        return self.spark.read.schema(S.COMMITS).parquet(self.path("commits"))
+
+    def commit_rows(self) -> list:
+        """The commit rows, one small row per batch."""
+        return self._commits if self._commits is not None else self.commits().collect()
+
+    def last_commit(self) -> int:
+        """Greatest committed batch id (-1 when empty)."""
+        return max((r["batch_id"] for r in self.commit_rows()), default=-1)
+
+    def has_epoch(self, source: str, epoch: int) -> bool:
+        return any(r["source"] == source and r["epoch"] == epoch for r in self.commit_rows())
 
     def base_version(self, upto: int) -> int | None:
-        if upto in self._bases:
-            return self._bases[upto]
         marks = f"{self.root}/_base_marks"
-        v = None
-        if self.exists(marks):
-            df = self.spark.read.schema("v long").parquet(marks).where(F.col("v") <= upto)
-            v = df.agg(F.max("v")).first()[0]
-        self._bases[upto] = None if v is None else int(v)
-        return self._bases[upto]
+        if not self.exists(marks):
+            return None
+        df = self.spark.read.schema("v long").parquet(marks).where(F.col("v") <= upto)
+        v = df.agg(F.max("v")).first()[0]
+        return None if v is None else int(v)
 
     # ------------------------------------------------------------ writes
     def begin(self, batch_id: int) -> None:
@@ -256,6 +277,7 @@ class Store:
             self._delete(f"{self.path(t)}/{BATCH}={batch_id}")
 
     def write(self, table: str, df: DataFrame, batch_id: int) -> None:
+        """Write the batch's rows of ``table``; without any, no folder stays."""
         cols = [f.name for f in self.schemas[table].fields]
         out = df.select(*[F.col(c).cast(self.schemas[table][c].dataType) for c in cols],
                         F.lit(batch_id).cast("long").alias(BATCH))
@@ -263,26 +285,29 @@ class Store:
         if key is not None:
             # key-sorted files: tight row-group min/max, so key-range filters skip row groups
             out = out.sortWithinPartitions(BATCH, key)   # batch_id first: satisfies the writer's ordering
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH).parquet(self.path(table)))
+        self._delete(f"{self.path(table)}/{BATCH}={batch_id}")
+        out.write.mode("append").partitionBy(BATCH).parquet(self.path(table))
 
     def append_audit(self, rows: list[tuple], batch_id: int) -> None:
         df = self.spark.createDataFrame(rows, S.PIPELINE_AUDIT).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        df.write.mode("append").partitionBy(BATCH).parquet(self.path("pipeline_audit"))
+        df.coalesce(1).write.mode("append").partitionBy(BATCH).parquet(self.path("pipeline_audit"))
+
+    def commit(self, batch_id: int, query_id: str, file_count: int, landing_rows: int = 0, attempt: str | None = None,
+               source: str | None = None, epoch: int | None = None) -> None:
+        import datetime as dt
 
-    def commit(self, batch_id: int, query_id: str, file_count: int) -> None:
-        df = (self.spark.range(1).select(F.current_timestamp().alias("committed_at"), F.lit(query_id).alias("query_id"),
-                                         F.lit(file_count).cast("long").alias("file_count"),
-                                         F.lit(batch_id).cast("long").alias(BATCH)))
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH).parquet(self.path("commits")))
-        self._last = max(batch_id, self._last if self._last is not None else -1)
+        known = self.commit_rows()
+        tables = ",".join(t for t in STATE_TABLES if self.exists(f"{self.path(t)}/{BATCH}={batch_id}"))
+        row = (batch_id, dt.datetime.now(), query_id, file_count, landing_rows, attempt, source, epoch, tables)
+        df = self.spark.createDataFrame([row], S.COMMITS)
+        df.coalesce(1).write.mode("append").parquet(self.path("commits"))
+        self._commits = [*known, *df.collect()]
 
     # ------------------------------------------------------------ maintenance
     def compact(self) -> int:
         """Write the committed state as a base snapshot; later reads start from it."""
         upto = self.last_commit()
-        if upto < 0:
+        if upto < 0 or self.base_version(upto) == upto:
             return upto
         base = f"{self.root}/_base/v={upto}"
         for t in list(KEYS) + list(CHILDREN):
@@ -293,7 +318,6 @@ class Store:
              .write.mode("overwrite").parquet(f"{base}/{t}"))
         # the mark is written last: readers switch to the base only once it is complete
         self.spark.createDataFrame([(upto,)], "v long").write.mode("append").parquet(f"{self.root}/_base_marks")
-        self._bases.clear()
         return upto
 
     def reset(self) -> "Store":

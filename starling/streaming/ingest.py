@@ -13,15 +13,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from starling.sources.json_files import landing_rows, read_files
+from starling.sources.json_files import read_landing
 from starling.store.tables import Store
 
 
 def start_ingest(spark: SparkSession, source_dir: str, store: Store, max_files_per_trigger: int | None = None,
                  available_now: bool = True, processing_time: str | None = None,
-                 strict: bool = False, name: str | None = None) -> StreamingQuery:
-    files = read_files(spark, source_dir, streaming=True, max_files_per_trigger=max_files_per_trigger)
-    rows = landing_rows(files, strict=strict)
+                 strict: bool = False, name: str | None = None, fmt: str = "array") -> StreamingQuery:
+    rows = read_landing(spark, source_dir, fmt, streaming=True, max_files_per_trigger=max_files_per_trigger, strict=strict)
     w = (rows.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", store.checkpoint("ingest"))
          .option("path", store.landing_path))

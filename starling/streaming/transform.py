@@ -2,14 +2,17 @@
 
 The landing table is read as a stream (its change stream, I1). Each
 micro-batch runs stage 1 then stage 2 (I6) through ``store.pipeline.run_batch``
-with the epoch id as ``batch_id``: a retried epoch gets the same id, so its
-partitions are replaced, and an epoch already committed is skipped. The
-checkpoint advances only after ``foreachBatch`` returns (consume-and-advance,
-I4); a run with no new rows calls it zero times (I5).
+as the state's next batch. The commit names the stream (the id that its
+checkpoint keeps) and the epoch: a replayed epoch that is committed is skipped,
+while batch loads and other checkpoints on the same state have numbers of their
+own. The checkpoint advances only after ``foreachBatch`` returns
+(consume-and-advance, I4); a run with no new rows calls it zero times (I5).
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,7 +24,7 @@ from starling.store.tables import Store
 def start_transform(spark: SparkSession, store: Store, max_files_per_trigger: int | None = None,
                     available_now: bool = True, processing_time: str | None = None,
                     strict: bool = True, name: str | None = None,
-                    compact_every: int | None = None) -> StreamingQuery:
+                    compact_every: int | None = None, strict_dims: bool = False) -> StreamingQuery:
     """Start query 2. ``compact_every=N`` compacts the state after every N-th committed batch,
     inside ``foreachBatch`` (so it never runs next to a batch's own writes)."""
     reader = spark.readStream.schema(S.LANDING)
@@ -29,12 +32,14 @@ def start_transform(spark: SparkSession, store: Store, max_files_per_trigger: in
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     src = reader.parquet(store.landing_path)
     holder: dict = {}
+    started = threading.Event()
 
     def each(df: DataFrame, epoch_id: int) -> None:
-        q = holder.get("q")
-        qid = f"{q.runId}:{epoch_id}" if q is not None else f"epoch:{epoch_id}"
-        out = run_batch(store, df, int(epoch_id), query_id=qid, strict=strict)
-        if compact_every and not out.get("skipped") and (int(epoch_id) + 1) % compact_every == 0:
+        started.wait()
+        q = holder["q"]
+        out = run_batch(store, df, query_id=f"{q.runId}:{epoch_id}", strict=strict, strict_dims=strict_dims,
+                        source=str(q.id), epoch=int(epoch_id))
+        if compact_every and not out["skipped"] and (out["batch_id"] + 1) % compact_every == 0:
             store.compact()
 
     w = src.writeStream.foreachBatch(each).option("checkpointLocation", store.checkpoint("transform"))
@@ -43,6 +48,7 @@ def start_transform(spark: SparkSession, store: Store, max_files_per_trigger: in
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     q = w.start()
     holder["q"] = q
+    started.set()
     return q
 
 

@@ -61,7 +61,8 @@ def test_two_batches_semantics(spark, tmp_root):
     assert r[1]["MERGE_STG_ORDERS"] == 3 and r[1]["DELETE_STG_ORDER_ITEMS"] == 2
     assert r[1]["INSERT_STG_ORDER_ITEMS"] == 2 and r[1]["STREAM_READ_ORDERS"] == 3 + 2
     audit = st.audit().where("batch_id = 1").collect()
-    assert [a["stage_step"] for a in sorted(audit, key=lambda a: a["audit_id"])] == STAGE1_STEPS + STAGE2_STEPS
+    assert [a["stage_step"] for a in sorted(audit, key=lambda a: a["audit_id"])] == pipeline.STEP_ORDER
+    assert set(STAGE1_STEPS + STAGE2_STEPS) < set(pipeline.STEP_ORDER)
     assert {a["file_name"] for a in audit} == {"orders_09.json"}
 
 
@@ -78,22 +79,89 @@ def test_incremental_equals_one_batch(spark, tmp_root):
     assert dict(i_cust).keys() >= dict(o_cust).keys()
 
 
-@pytest.mark.parametrize("step", ["MERGE_STG_ORDERS", "INSERT_STG_ORDER_ITEMS", "MERGE_DIM_PRODUCT",
-                                  "INSERT_FACT_ORDER_ITEMS"])
-def test_failure_then_retry_equals_clean_run(spark, tmp_root, step):
+class FailingStore(Store):
+    """Fails once, before or after it has written one table of one batch."""
+
+    fail: tuple | None = None
+
+    def write(self, table, df, batch_id):
+        if self.fail == (table, batch_id, "before"):
+            raise RuntimeError("disk gone")
+        super().write(table, df, batch_id)
+        if self.fail == (table, batch_id, "after"):
+            raise RuntimeError("disk gone")
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+@pytest.mark.parametrize("table,step", [("stg_orders", "MERGE_STG_ORDERS"), ("stg_order_items", "INSERT_STG_ORDER_ITEMS"),
+                                        ("dim_product", "MERGE_DIM_PRODUCT"), ("fact_order_items", "INSERT_FACT_ORDER_ITEMS")])
+def test_failure_between_writes_then_retry_equals_clean_run(spark, tmp_root, table, step, when):
     b1, b2 = batches(spark, tmp_root)
     clean = Store(spark, os.path.join(tmp_root, "clean"))
     pipeline.run_batches(clean, [b1, b2])
-    st = Store(spark, os.path.join(tmp_root, "faulty"))
+    st = FailingStore(spark, os.path.join(tmp_root, "faulty"))
     pipeline.load_batch(st, b1)
-    with pytest.raises(pipeline.InjectedFailure):
-        pipeline.load_batch(st, b2, fail_after=step)
+    st.fail = (table, 1, when)
+    with pytest.raises(RuntimeError):
+        pipeline.load_batch(st, b2, concurrent=False)
     assert st.last_commit() == 0                      # the failed batch is invisible
     assert st.current("fact_orders").count() == 3
+    done = {r["stage_step"]: r for r in st.audit().where("batch_id = 1").collect()}
+    before = pipeline.STEP_ORDER[:pipeline.STEP_ORDER.index(step)]
+    assert done[step]["status"] == "FAILED" and done[step]["affected_rows"] is None and "disk gone" in done[step]["error_message"]
+    assert done["STREAM_READ_CREATE_TMP"]["status"] == "SUCCESS" and done["ROUTE_REJECTS"]["affected_rows"] == 2
+    assert all(s in pipeline.STEP_ORDER and (s == step or done[s]["status"] == "SUCCESS") for s in done)
+    assert [s for s in before if s in done]
+    st.fail = None
     pipeline.load_batch(st, b2)
     assert state(st) == state(clean)
-    failed = st.audit().where("status = 'FAILED'").collect()
-    assert len(failed) == 1 and failed[0]["stage_step"] == step and failed[0]["affected_rows"] is None
+    from starling.plans import diagnostics
+    runs = {(r["batch_id"], r["status"]): r for r in diagnostics.runs(st.audit()).collect()}
+    assert runs[(1, "FAILED")]["failed_step"] == step and runs[(1, "SUCCESS")]["rejected_rows"] == 2
+    assert diagnostics.batch_summary(st.audit(), st.commits()).where("batch_id = 1").first()["merged_rows"] == 3
+
+
+def test_retry_with_an_empty_load_does_not_run_the_old_rows(spark, tmp_root):
+    b1, b2 = batches(spark, tmp_root)
+    st = FailingStore(spark, os.path.join(tmp_root, "s"))
+    pipeline.load_batch(st, b1)
+    st.fail = ("stg_orders", 1, "after")
+    with pytest.raises(RuntimeError):
+        pipeline.load_batch(st, b2)
+    st.fail = None
+    assert pipeline.load_batch(st, b2.limit(0))["STREAM_READ_CREATE_TMP"] == 0
+    assert st.current("fact_orders").count() == 3 and st.current("fact_orders").where("status <> 'NEW'").count() == 0
+
+
+def test_a_second_reader_sees_later_commits(spark, tmp_root):
+    b1, b2 = batches(spark, tmp_root)
+    st = Store(spark, os.path.join(tmp_root, "s"))
+    pipeline.load_batch(st, b1)
+    reader = Store(spark, st.root)
+    assert reader.last_commit() == 0
+    pipeline.load_batch(st, b2)
+    st.compact()
+    assert reader.last_commit() == 1 and state(reader) == state(st)
+
+
+def test_epochs_are_known_by_their_stream(spark, tmp_root):
+    b1, b2 = batches(spark, tmp_root)
+    st = Store(spark, os.path.join(tmp_root, "s"))
+    pipeline.load_batch(st, b1)
+    assert pipeline.run_batch(st, b2, source="a", epoch=0)["batch_id"] == 1
+    assert pipeline.run_batch(st, b2, source="a", epoch=0)["skipped"]
+    assert pipeline.run_batch(st, b2, source="b", epoch=0)["batch_id"] == 2
+    assert Store(spark, st.root).has_epoch("b", 0)
+
+
+def test_batch_reads_only_named_folders_and_counts_without_items(spark, tmp_root):
+    b1, b2 = batches(spark, tmp_root)
+    st = Store(spark, os.path.join(tmp_root, "s"))
+    pipeline.run_batches(st, [b1, b2])
+    plan = st.log("stg_orders", after=0)._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id=1" in plan and "batch_id=0" not in plan
+    got = {int(r["order_id"]): (r["batch_id"], r["item_count"]) for r in st.prior_orders(st.current("stg_orders"), None).collect()}
+    assert got == {1: (0, 2), 2: (1, 1), 3: (1, 0), 4: (1, 1)}
 
 
 def test_committed_batch_is_skipped(spark, tmp_root):
@@ -102,6 +170,7 @@ def test_committed_batch_is_skipped(spark, tmp_root):
     pipeline.load_batch(st, b1, batch_id=0)
     assert pipeline.run_batch(st, b1, 0)["skipped"] is True
     assert st.audit().count() == 11
+    assert pipeline.load_batch(st, b1, batch_id=0)["skipped"] is True
 
 
 def test_compaction_keeps_state(spark, tmp_root):
@@ -164,3 +233,10 @@ def test_strict_dims_fail_the_batch_on_conflicting_tiers(spark, tmp_root):
     ok = Store(spark, os.path.join(tmp_root, "lenient"))
     pipeline.load_batch(ok, b)                     # default: latest version wins (order 2, SILVER)
     assert [(int(r["customer_id"]), r["loyalty_tier"]) for r in ok.current("dim_customer").collect()] == [(100, "SILVER")]
+
+
+def test_product_with_two_categories_in_one_order_is_settled(spark, tmp_root):
+    b = load(spark, os.path.join(tmp_root, "p"), {"orders_08.json": [
+        order_doc(1, items=[item(1000, category="books"), item(1000, category="toys"), item(1000, category="art")])]}, 8)
+    got = {stage2.dim_product_source(stage1.staged_items(stage1.latest_orders(b)).repartition(n)).first()["category"] for n in (1, 3, 5)}
+    assert got == {"toys"}

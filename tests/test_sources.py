@@ -70,7 +70,7 @@ def test_documents_round_trip_on_test_tables(spark):
 def test_file_listing_reads_no_content(spark, tmp_root):
     src = write_files(os.path.join(tmp_root, "in"), {"a.json": [order_doc(1)], "b.json": [order_doc(2)]})
     df = jf.list_files(spark, src)
-    assert set(df.columns) == {"path", "length", "modificationTime"}
+    assert set(df.columns) == {"path", "length", "modificationTime", "file_name"}
     assert df.count() == 2
     assert "content" not in df._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
 
@@ -87,6 +87,76 @@ def test_one_shot_load_and_adhoc_query(spark, tmp_root):
     src = write_files(os.path.join(tmp_root, "in"), {"a.json": [order_doc(1), order_doc(2)]})
     landing = os.path.join(tmp_root, "landing")
     assert jf.load_once(spark, src, landing).count() == 2
-    assert jf.load_once(spark, src, landing).count() == 4          # plain append, like COPY without history
+    assert jf.load_once(spark, src, landing).count() == 2          # known files are not loaded again
+    write_files(src, {"b.json": [order_doc(3)]})
+    assert jf.load_once(spark, src, landing).count() == 3
+    os.remove(os.path.join(src, "b.json"))
     q = jf.query_files(spark, src).select(F.variant_get("payload", "$.order_id", "int").alias("o"))
     assert sorted(r["o"] for r in q.collect()) == [1, 2]
+
+
+def test_text_after_the_root_is_never_lost(spark, tmp_root):
+    src = write_files(os.path.join(tmp_root, "in"), {
+        "lines.json": '{"order_id": 1}\n\n{"order_id": 2}\r\n{"order_id": oops}\n[3]\n',
+        "two_arrays.json": '[{"order_id": 3}][{"order_id": 4}]',
+        "comma.json": '[{"order_id": 3}],[{"order_id": 4}]',
+        "junk.json": '[{"order_id": 5}] junk',
+        "blank.json": " \n ",
+        "spaced.json": ' \n[{"order_id": 6}]\n ',
+    })
+    rows = jf.landing_rows(jf.read_files(spark, src)).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["file_name"], []).append((r["row_number"], r["reject_reason"], r["raw"]))
+    assert sorted(by["lines.json"], key=str) == sorted(
+        [(1, None, None), (2, None, None), (3, jf.REASON_MALFORMED, '{"order_id": oops}'), (4, jf.REASON_NOT_DOCUMENT, "[3]")], key=str)
+    for name in ("two_arrays.json", "comma.json", "junk.json"):
+        assert [(n, why) for n, why, _ in by[name]] == [(0, jf.REASON_MALFORMED)] and by[name][0][2].startswith("[{")
+    assert "blank.json" not in by and [x[:2] for x in by["spaced.json"]] == [(1, None)]
+    with pytest.raises(Exception):
+        jf.landing_rows(jf.read_files(spark, src), strict=True).collect()
+
+
+def test_folders_below_folders_and_names(spark, tmp_root):
+    src = os.path.join(tmp_root, "area")
+    write_files(os.path.join(src, "2026", "a b+c%"), {"x.json": [order_doc(1)]})
+    write_files(src, {"x.json": [order_doc(2)]})
+    for read in (lambda: jf.query_files(spark, src), lambda: jf.query_files(spark, "file://" + src + "/")):
+        got = {(r["file_name"], r["o"]) for r in read().select("file_name", F.variant_get("payload", "$.order_id", "int").alias("o")).collect()}
+        assert got == {("2026/a b+c%/x.json", 1), ("x.json", 2)}
+    assert {r["file_name"] for r in jf.list_files(spark, src).collect()} == {"2026/a b+c%/x.json", "x.json"}
+
+
+def test_json_lines_are_split_and_numbered(spark, tmp_root):
+    src = write_files(os.path.join(tmp_root, "lines"), {"big.jsonl": "".join(f'{{"order_id": {i}}}\n' for i in range(20_000)) + "bad\n"})
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+        raw = jf.read_lines(spark, src)
+        assert raw.rdd.getNumPartitions() > 3
+        rows = jf.landing_rows(raw).select("row_number", F.variant_get("payload", "$.order_id", "int").alias("o"), "reject_reason").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    good = sorted((r["row_number"], r["o"]) for r in rows if r["reject_reason"] is None)
+    assert [o for _, o in good] == list(range(20_000)) and len({n for n, _ in good}) == 20_000
+    assert [r["reject_reason"] for r in rows if r["reject_reason"]] == [jf.REASON_MALFORMED]
+
+
+def test_file_names_of_large_keys_are_not_cut(spark):
+    from starling.sources.documents import file_name_of
+
+    got = [r[0] for r in spark.createDataFrame([(10 ** 11,), (10 ** 11 + 10 ** 5,), (7,)], "k long").select(
+        file_name_of(F.to_date(F.lit("2026-03-01")), F.col("k"))).collect()]
+    assert got == ["orders_202603_1000000.json", "orders_202603_1000001.json", "orders_202603_00000.json"]
+
+
+def test_permissive_mode_rejects_bad_items(spark, tmp_root):
+    from starling.plans import stage1
+
+    src = write_files(os.path.join(tmp_root, "in"), {"a.json": [
+        order_doc(1, items=[item(1000)]), order_doc(2, items=[dict(item(1000), quantity="two")]), order_doc(3, items=[dict(item(1000), unit_price="x")]),
+        order_doc(4, items={"product_id": 1}), order_doc(5, items="none"), order_doc(6, items=[7]), order_doc(7), dict(order_doc(8), items=None)]})
+    land = jf.landing_rows(jf.read_files(spark, src))
+    assert sorted(int(r["order_id"]) for r in stage1.latest_orders(land, strict=False).collect()) == [1, 7, 8]
+    assert {r["reason"] for r in stage1.rejected_rows(land, strict=False).collect()} == {stage1.REASON_BAD_VALUE}
+    assert stage1.rejected_rows(land, strict=False).count() == 5

@@ -37,3 +37,24 @@ def test_files_to_curated_through_two_streams(spark, tmp_root):
     assert st.current("fact_orders").where("order_id = 2").first()["status"] == "SHIPPED"
     assert st.landing().count() == 5
     assert st.landing().select("load_ts").distinct().count() >= 2
+
+
+def test_batch_load_then_stream_on_one_state_and_old_files(spark, tmp_root):
+    from pyspark.sql import functions as F
+
+    from starling.sources import json_files as jf
+    from starling.store import pipeline
+
+    st = Store(spark, os.path.join(tmp_root, "state"))
+    first = write_files(os.path.join(tmp_root, "first"), {"a.json": [order_doc(1, items=[item(1000)])]})
+    pipeline.load_batch(st, jf.landing_rows(jf.read_files(spark, first), load_ts=F.to_timestamp(F.lit("2026-02-01 08:00:00"))))
+    drop = os.path.join(tmp_root, "drop")
+    for n, age in ((50, 0), (51, 40 * 86400)):
+        write_files(os.path.join(drop, f"day{n}"), {"o.json": [order_doc(n, items=[item(1001)])]})
+        path = os.path.join(drop, f"day{n}", "o.json")
+        t = os.path.getmtime(path) - age
+        os.utime(path, (t, t))
+        run_until_drained(start_ingest(spark, drop, st))
+        run_until_drained(start_transform(spark, st))
+    assert sorted(int(r["order_id"]) for r in st.current("fact_orders").collect()) == [1, 50, 51]
+    assert st.last_commit() == 2
