@@ -97,7 +97,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def record_bytes(records: DataFrame) -> DataFrame:
     """``page_id, record``: the bytes of each WARC record (a revisit record has the HTTP header block only)."""
-    is_revisit = F.col("header").cast("string").rlike(r"(?m)^WARC-Type: revisit\r$")
+    is_revisit = F.col("header").cast("string").contains("\r\nWARC-Type: revisit\r\n")
     body = F.when(is_revisit, F.lit(b"")).otherwise(F.col("payload"))
     return records.select("page_id", F.concat(F.col("header"), body, F.lit(b"\r\n\r\n")).alias("record"))
 
