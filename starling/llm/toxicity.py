@@ -16,7 +16,7 @@ from starling.llm.decontaminate import words_of
 
 SAMPLE_PER_SIDE = 6000          # the bound of the training sample: labelled rows of either class, by hash of their id
 FEATURES = 4096                 # features kept, by strength of their association with the label
-LEAST_DOCS = 8
+LEAST_DOCS = 3
 STEMS = (4, 5, 6)
 GRADES = 4                      # 0 clean, then thirds of the toxic sample by the share of marked words
 MEMO_WORDS = 400_000
