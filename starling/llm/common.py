@@ -44,6 +44,11 @@ def binary_values(column: pa.Array | pa.ChunkedArray) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
+def each_binary(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes | None]:
+    """The values of ``binary_values`` one at a time, so that a batch of long texts isn't held twice."""
+    return (v.as_py() for v in column.cast(pa.binary()))
+
+
 def least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Least index reachable from each of ``n`` points over the links ``a, b``."""
     label = np.arange(n)
@@ -100,5 +105,6 @@ def connected_components(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> Da
         current = table(small, "stars")
         state = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo"))).first()
         if state == seen:
-            return current.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
+            roots = current.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
+            return current.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
         seen = state
