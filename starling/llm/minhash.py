@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starling.llm.common import binary_values, connected_components, small_side, table
+from starling.llm.common import connected_components, each_binary, small_side, table
 
 REGISTERS = 256                 # a power of two: the top bits of a shingle's hash choose its register
 ZERO_BITS, MANTISSA_BITS = 6, 10
@@ -58,7 +58,26 @@ class WordHashes:
                 setattr(self, name, np.cumprod(steps, dtype=np.uint64))
 
     def __call__(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(first byte, hash)`` of each word of ``text`` (bytes, words between white space)."""
+        """``(first byte, hash)`` of each word of ``text`` (bytes, words between white space), about CHUNK bytes at a time."""
+        starts, found, at = [], [], 0
+        while at < len(text) or not starts:
+            stop = self._space_from(text, at + CHUNK)
+            first, h = self._words(text[at:stop])
+            starts.append(first + at)
+            found.append(h)
+            at = stop
+        return np.concatenate(starts), np.concatenate(found)
+
+    @staticmethod
+    def _space_from(text: np.ndarray, at: int) -> int:
+        """The first white space from ``at`` on, or the end: no word is divided there."""
+        for low in range(at, len(text), 1 << 16):
+            space = np.flatnonzero(_SPACE[text[low:low + (1 << 16)]])
+            if len(space):
+                return low + int(space[0])
+        return len(text)
+
+    def _words(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         space = np.concatenate([[True], _SPACE[text], [True]])
         edge = np.flatnonzero(space[1:] != space[:-1])
         starts, ends = edge[::2], edge[1::2]
@@ -68,26 +87,30 @@ class WordHashes:
         return starts, _scramble((sums[ends] - sums[starts]) * self.inverse[starts])
 
 
-def shingle_sets(texts: list[bytes | None], width: int, hashes: WordHashes) -> list[np.ndarray]:
+def shingle_sets(texts: Iterable[bytes | None], width: int, hashes: WordHashes) -> Iterator[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's shingles: words between ASCII white space, A-Z lower-cased.
 
-    Fewer words than ``width`` make one shingle; no words make none. Texts are hashed in chunks; a longer one is a chunk.
+    Fewer words than ``width`` make one shingle; no words make none. Texts are hashed in chunks; a longer one alone.
     """
-    out, at = [], 0
-    while at < len(texts):
-        some, size = [], 0
-        while at < len(texts) and (not some or size + len(texts[at] or b"") <= CHUNK):
-            some.append(texts[at] or b"")
-            size += len(some[-1]) + 1
-            at += 1
-        begins = np.cumsum([0] + [len(t) + 1 for t in some])
-        starts, h = hashes(np.frombuffer(b" ".join(some).lower(), np.uint8))
-        bounds = np.searchsorted(starts, begins)
-        total = _rolled(h, width)
-        for a, b in zip(bounds, bounds[1:]):
-            n = b - a
-            out.append(np.unique(total[a:b - width + 1]) if n >= width else _rolled(h[a:b], n) if n else h[:0])
-    return out
+    some, size = [], 0
+    for text in texts:
+        if some and size + len(text or b"") > CHUNK:
+            yield from _sets_of_chunk(some, width, hashes)
+            some, size = [], 0
+        some.append(text or b"")
+        size += len(some[-1]) + 1
+    if some:
+        yield from _sets_of_chunk(some, width, hashes)
+
+
+def _sets_of_chunk(texts: list[bytes], width: int, hashes: WordHashes) -> Iterator[np.ndarray]:
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    starts, h = hashes(np.frombuffer(b" ".join(texts).lower(), np.uint8))
+    bounds = np.searchsorted(starts, begins)
+    total = _rolled(h, width)
+    for a, b in zip(bounds, bounds[1:]):
+        n = b - a
+        yield np.unique(total[a:b - width + 1]) if n >= width else _rolled(h[a:b], n) if n else h[:0]
 
 
 def _rolled(h: np.ndarray, width: int) -> np.ndarray:
@@ -176,7 +199,7 @@ def sketches(documents: DataFrame, id_col: str, text_col: str, width: int) -> Da
         hashes = WordHashes()
         for batch in batches:
             sizes, keys, registers = [], [], []
-            for s in shingle_sets(binary_values(batch.column("text")), width, hashes):
+            for s in shingle_sets(each_binary(batch.column("text")), width, hashes):
                 sizes.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 registers.append(registers_of(s).tobytes() if len(s) else None)
@@ -234,7 +257,7 @@ def _texts(documents: DataFrame, keys: DataFrame, classes: DataFrame, id_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = shingle_sets(binary_values(batch.column("text")), width, hashes)
+            sets = shingle_sets(each_binary(batch.column("text")), width, hashes)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column("text")], names=["key", "text"])
 
@@ -252,11 +275,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, numerator: int, de
         hashes = WordHashes()
         for batch in batches:
             keep, known, left = [], None, None
-            for i, (key, x, y) in enumerate(zip(batch.column("a").to_pylist(), binary_values(batch.column("ta")),
-                                                binary_values(batch.column("tb")))):
+            for i, (key, x, y) in enumerate(zip(batch.column("a").to_pylist(), each_binary(batch.column("ta")),
+                                                each_binary(batch.column("tb")))):
                 if key != known:                          # joined by a, so equal ones follow each other
-                    known, left = key, shingle_sets([x], width, hashes)[0]
-                right = shingle_sets([y], width, hashes)[0]
+                    known, left = key, next(shingle_sets([x], width, hashes))
+                right = next(shingle_sets([y], width, hashes))
                 both = np.concatenate([left, right])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())

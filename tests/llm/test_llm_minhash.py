@@ -117,3 +117,14 @@ def test_copies_are_never_paired(spark):
                                  .otherwise(F.concat(F.lit("other words number "), "id")).alias("text"))
     out = minhash.near_duplicates(d)
     assert out.where("component_id = 0").count() == 2500 and out.where("kept").count() == 501
+
+
+def test_words_hash_alike_in_pieces(monkeypatch):
+    rng = random.Random(4)
+    text = " ".join("x" * rng.choice([1, 3, 7, 900]) + str(k % 50) for k in range(600))
+    data = np.frombuffer(f"  {text}\n\t{'y' * 70_000}".encode(), np.uint8)
+    whole = minhash.WordHashes()(data)
+    monkeypatch.setattr(minhash, "CHUNK", 64)
+    for a, b in zip(whole, minhash.WordHashes()(data)):
+        assert (a == b).all()
+    assert [len(x) for x in minhash.WordHashes()(data[:0])] == [0, 0]
