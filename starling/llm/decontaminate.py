@@ -291,8 +291,16 @@ def digest(found: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
                         F.size("near_items").cast("long").alias("n_near_items"))
 
 
-def drop_contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """``documents`` without the ids that have a hit; all their columns stay."""
-    found = find_contamination(documents, benchmark, id_col=id_col, **options)
-    hit = table(found.where(F.size("hits") > 0).select(F.col(id_col).alias("hit_id")).distinct(), "contaminated")
-    return documents.join(small_side(hit), documents[id_col].eqNullSafe(hit["hit_id"]), "left_anti")
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                      **options) -> DataFrame:
+    """``documents`` without the rows that have a hit; all their columns stay.
+
+    Rows are told apart by id and text hash: a hit takes no other text of its id, or of a null id, along.
+    """
+    keyed = documents.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version")).alias("row"),
+                             F.col(text_col).alias("text"))
+    found = find_contamination(keyed, benchmark, id_col="row", text_col="text", **options)
+    hit = found.where(F.size("hits") > 0).select(F.col("row.id").alias("hit_id"), F.col("row.version").alias("hit_version"))
+    hit = small_side(table(hit.distinct(), "contaminated"))
+    return documents.join(hit, documents[id_col].eqNullSafe(hit["hit_id"])
+                          & (F.xxhash64(documents[text_col]) == hit["hit_version"]), "left_anti")

@@ -191,8 +191,9 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def sketches(documents: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``id, n_shingles, key, registers`` per row; ``key`` is a digest of the shingle set, null for an empty one."""
-    fields = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """``id, version, n_shingles, key, registers`` per row; ``key`` is a digest of the shingle set, null for an empty one,
+    ``version`` a hash of the text."""
+    fields = documents.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("version"), F.col(text_col).alias("text"))
     id_type = fields.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,10 +204,11 @@ def sketches(documents: DataFrame, id_col: str, text_col: str, width: int) -> Da
                 sizes.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 registers.append(registers_of(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                                              pa.array(registers, pa.binary())], names=["id", "n_shingles", "key", "registers"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("version"), pa.array(sizes, pa.int64()),
+                                              pa.array(keys, pa.binary()), pa.array(registers, pa.binary())],
+                                             names=["id", "version", "n_shingles", "key", "registers"])
 
-    return fields.mapInArrow(run, f"id {id_type}, n_shingles long, key binary, registers binary")
+    return fields.mapInArrow(run, f"id {id_type}, version long, n_shingles long, key binary, registers binary")
 
 
 def _banded(classes: DataFrame) -> DataFrame:
@@ -314,6 +316,18 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     their id are all kept or none; a null id is never a component's least, so such a row is kept only if it has no words or
     all rows of its component have null ids. Other columns are not read. Hot buckets are split by AQE (equi-joins on band and class), and minima combine before shuffles.
     """
+    rows, grouped = _groups(documents, id_col, text_col, width, numerator, denominator)
+    least = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    named = grouped.join(least, "label").select("key", "component_id")
+    out = rows.join(named, "key", "left")
+    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
+                      F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def _groups(documents: DataFrame, id_col: str, text_col: str, width: int, numerator: int,
+            denominator: int) -> tuple[DataFrame, DataFrame]:
+    """The ``sketches`` of all rows, and ``key, least_id, label`` per class: the component that its links reach."""
     rows = table(sketches(documents, id_col, text_col, width), "sketches")
     classes = table(rows.where("key is not null").groupBy("key").agg(
         F.min("id").alias("least_id"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")), "classes")
@@ -360,17 +374,35 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
         done = chosen.select("band", "key")
         served = table(done if served is None else served.unionByName(done), "served")
 
-    grouped = _labels(classes.select("key", "least_id"), components)
-    least = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = grouped.join(least, "label").select("key", "component_id")
-    out = rows.join(named, "key", "left")
-    component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"))
+    return rows, _labels(classes.select("key", "least_id"), components)
 
 
-def keep_one(documents: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """``documents`` with one document (the least id) of each group; all their columns stay."""
-    found = near_duplicates(documents, id_col=id_col, **options)
-    gone = table(found.where("not kept").select(F.col(id_col).alias("gone_id")).distinct(), "near-duplicates")
-    return documents.join(small_side(gone), documents[id_col].eqNullSafe(gone["gone_id"]), "left_anti")
+def keep_one(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3, numerator: int = 85,
+             denominator: int = 100) -> DataFrame:
+    """``documents`` with one row of each group of ``near_duplicates``; all their columns stay.
+
+    It is the row of the least id (null ids come last), of several texts of that id the one with the least hash. Rows are
+    told apart by id and text hash, so a removed row takes no other text of its id, or of a null id, along; of rows that
+    repeat both, one is kept. Rows without words are in no group and all kept.
+    """
+    rows, grouped = _groups(documents, id_col, text_col, width, numerator, denominator)
+    named = rows.where("key is not null").join(grouped.select("key", "label"), "key").groupBy("label", "id", "version").agg(
+        F.count(F.lit(1)).alias("n"))
+    named = table(named, "group-rows")
+    first = named.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "version")).alias("first"))
+    named = named.join(first, "label").select(F.col("id").alias("row_id"), F.col("version").alias("row_version"), "n", (
+        F.col("id").eqNullSafe(F.col("first.id")) & (F.col("version") == F.col("first.version"))).alias("kept"))
+    named = table(named.where("not kept or n > 1"), "near-duplicates")
+
+    def same(side: DataFrame):
+        return documents[id_col].eqNullSafe(side["row_id"]) & (F.xxhash64(documents[text_col]) == side["row_version"])
+
+    gone, again = small_side(named.where("not kept")), named.where("kept")
+    n = again.count()
+    if not n:
+        return documents.join(gone, same(gone), "left_anti")
+    every = small_side(named)
+    again = small_side(again, n)
+    version = f"version_{id_col}"
+    once = documents.join(again, same(again), "left_semi").withColumn(version, F.xxhash64(text_col))
+    return documents.join(every, same(every), "left_anti").unionByName(once.dropDuplicates([id_col, version]).drop(version))
