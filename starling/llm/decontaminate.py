@@ -242,26 +242,36 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, *, id_col: st
     windows, ``items`` the items with an occurrence; with ``slop`` > 0, ``near_items`` have a window whose three rarest
     terms lie that close to their places. Null and empty texts have no words; repeated rows are searched each, repeated
     items count once; without documents or items no row has a hit. Other columns are not read.
-    The index is written to the shared folder; the benchmark is read in blocks of about ``block_bytes`` by item hash,
-    each collected after its size is known. Items that are larger than a block alone make one block larger.
+    The index is written to the shared folder; the benchmark, without repeated rows, is read in blocks of about
+    ``block_bytes`` by the hash of item and text, so rows that share an item are spread. A block's size is known before it is
+    collected, and one of more than twice ``block_bytes`` is divided by another hash; only one row that is larger alone makes a
+    block larger. Of several blocks each writes its hits before the next is collected.
     """
     index = table(build_index(documents, id_col=id_col, text_col=text_col, segment_words=segment_words), "token-index")
     items = benchmark.select(F.col(item_id_col).alias("item"), F.col(item_text_col).alias("text"))
     item_type = items.schema["item"].dataType.simpleString()
     if item_type not in ("bigint", "int"):
         items, item_type = items.withColumn("item", F.col("item").cast("string")), "string"
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(total / block_bytes))
+    items = table(items.where("text is not null").distinct(), "benchmark-items")
     parts = []
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()
-        found = Windows([(r["item"], words_of(r["text"].encode())) for r in rows if r["text"]], window)
-        parts.append(_search(index, found, item_type, slop))
-    if blocks == 1:
+
+    def search(rows: DataFrame, level: int) -> None:
+        total, n = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+        if n > 1 and total > (2 if level else 1) * block_bytes:
+            blocks = math.ceil(total / block_bytes)
+            for b in range(blocks):
+                search(rows.where(F.pmod(F.xxhash64(F.lit(level), "item", "text"), F.lit(blocks)) == b), level + 1)
+            return
+        found = Windows([(r["item"], words_of(r["text"].encode())) for r in rows.collect() if r["text"]], window)
+        part = _search(index, found, item_type, slop)
+        parts.append(table(part.where("size(hits) > 0 or size(near_items) > 0"), "block-hits") if level else part)
+
+    search(items, 0)
+    if len(parts) == 1:
         merged = parts[0]
     else:
-        every = parts[0]
-        for p in parts[1:]:
+        every = _search(index, Windows([], window), item_type, slop)           # each row once, without hits
+        for p in parts:
             every = every.unionByName(p)
         merged = every.groupBy("segment", "place").agg(
             F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"),

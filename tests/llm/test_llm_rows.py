@@ -40,3 +40,20 @@ def test_drop_contaminated_takes_rows_not_ids(spark):
     benchmark = spark.createDataFrame([(9, a)], "item_id long, text string")
     assert _left(decontaminate.drop_contaminated(spark.createDataFrame(rows, SCHEMA), benchmark)) == sorted(
         [(None, b), (1, d), (2, None), (None, None)], key=str)
+
+
+def test_blocks_are_bounded_where_items_share_an_id(spark, monkeypatch):
+    sizes, init = [], decontaminate.Windows.__init__
+
+    def recorded(self, items, width):
+        sizes.append(sum(len(b" ".join(words)) for _, words in items))
+        init(self, items, width)
+
+    monkeypatch.setattr(decontaminate.Windows, "__init__", recorded)
+    texts = [" ".join(_words(k, 12)) for k in range(60)]
+    benchmark = spark.createDataFrame([(7 if k < 30 else None, t) for k, t in enumerate(texts)] * 2, "item_id long, text string")
+    docs = spark.createDataFrame([(k, texts[k] + " tail", "x") for k in range(0, 60, 2)] + [(99, "no such words", "x")], SCHEMA)
+    found = {r["doc_id"]: r for r in decontaminate.find_contamination(docs, benchmark, block_bytes=400).collect()}
+    assert len(found) == 31 and not found[99]["hits"]
+    assert all([tuple(h) for h in found[k]["hits"]] == [(0, 12)] and found[k]["items"] == [7 if k < 30 else None] for k in range(0, 60, 2))
+    assert max(sizes) <= 2 * 400 and sum(sizes) == sum(map(len, texts))
