@@ -17,7 +17,7 @@ from starling.llm.common import connected_components, each_binary, small_side, t
 REGISTERS = 256                 # a power of two: the top bits of a shingle's hash choose its register
 ZERO_BITS, MANTISSA_BITS = 6, 10
 EMPTY = 0xFFFF
-BANDS, ROWS = 36, 7             # a pair of Jaccard 0.85 misses all bands with probability 9e-7
+MISS = 1e-5                     # a pair at the similarity asked for may miss all bands with this probability at most
 ESTIMATE_SIGMAS = 4.5
 OUTSIDERS = 256                 # members of a bucket that are compared with all others in one round
 CHUNK = 1 << 20                 # bytes of text hashed at once
@@ -146,7 +146,18 @@ def _probes() -> np.ndarray:
     return np.argsort(np.random.default_rng(20240229).random((REGISTERS, REGISTERS)), axis=1, kind="stable")
 
 
-def band_hashes(registers: np.ndarray, probes: np.ndarray) -> np.ndarray:
+def bands_for(similarity: float) -> tuple[int, int]:
+    """``(bands, rows)``: the most registers in a band with which a pair of that Jaccard misses all bands rarely enough.
+
+    36 bands of 7 for 0.85 (missed with 9e-7), 42 of 6 for 0.80 (3e-6).
+    """
+    for rows in range(REGISTERS, 1, -1):
+        if (1 - similarity ** rows) ** (REGISTERS // rows) <= MISS:
+            return REGISTERS // rows, rows
+    return REGISTERS, 1
+
+
+def band_hashes(registers: np.ndarray, probes: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit hash per band of each row of registers; empty registers borrow a filled one's value."""
     full = registers.astype(np.uint64)
     filled = registers != EMPTY
@@ -154,9 +165,9 @@ def band_hashes(registers: np.ndarray, probes: np.ndarray) -> np.ndarray:
         empty = np.flatnonzero(~filled[r])
         source = probes[empty, filled[r][probes[empty]].argmax(1)]
         full[r, empty] = full[r, source] + (source.astype(np.uint64) << _U(16))
-    total = np.zeros((len(full), BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX[0]
-    used = full[:, :BANDS * ROWS].reshape(len(full), BANDS, ROWS)
-    for k in range(ROWS):
+    total = np.zeros((len(full), bands), np.uint64) + np.arange(1, bands + 1, dtype=np.uint64) * _MIX[0]
+    used = full[:, :bands * rows].reshape(len(full), bands, rows)
+    for k in range(rows):
         total = _scramble(total * _MIX[1] + used[:, :, k])
     return total
 
@@ -211,17 +222,19 @@ def sketches(documents: DataFrame, id_col: str, text_col: str, width: int) -> Da
     return fields.mapInArrow(run, f"id {id_type}, version long, n_shingles long, key binary, registers binary")
 
 
-def _banded(classes: DataFrame) -> DataFrame:
+def _banded(classes: DataFrame, similarity: float) -> DataFrame:
     """``band, key``: one row per class and band."""
+    n, width = bands_for(similarity)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probes = _probes()
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-            bands = band_hashes(rows, probes).view(np.int64).ravel()
+            bands = band_hashes(rows, probes, n, width).view(np.int64).ravel()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bands), batch.column("key").take(pa.array(np.repeat(np.arange(len(rows)), BANDS)))], names=["band", "key"])
+                [pa.array(bands), batch.column("key").take(pa.array(np.repeat(np.arange(len(rows)), n)))], names=["band", "key"])
 
     return classes.select("key", "registers").mapInArrow(run, "band long, key binary")
 
@@ -312,7 +325,8 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     component are compared with every member of another component, up to OUTSIDERS of a bucket in a round, until each has
     been: all links between components are found without pairing a component with itself. Compared pairs pass the size
     bound and the corrected estimate (ESTIMATE_SIGMAS standard errors below the similarity),
-    then the full sets decide. Empty and null texts have no shingles, link with nothing and are kept; rows repeated with
+    then the full sets decide. ``bands_for`` sets the bands by the similarity: two classes right at it share no bucket with a
+    chance of MISS at most, closer ones more rarely. Empty and null texts have no shingles, link with nothing and are kept; rows repeated with
     their id are all kept or none; a null id is never a component's least, so such a row is kept only if it has no words or
     all rows of its component have null ids. Other columns are not read. Hot buckets are split by AQE (equi-joins on band and class), and minima combine before shuffles.
     """
@@ -331,7 +345,7 @@ def _groups(documents: DataFrame, id_col: str, text_col: str, width: int, numera
     rows = table(sketches(documents, id_col, text_col, width), "sketches")
     classes = table(rows.where("key is not null").groupBy("key").agg(
         F.min("id").alias("least_id"), F.first("registers").alias("registers"), F.first("n_shingles").alias("n_shingles")), "classes")
-    bands = _banded(classes)
+    bands = _banded(classes, numerator / denominator)
     buckets = bands.groupBy("band").agg(F.min("key").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = table(bands.join(buckets.drop("n"), "band"), "bucket-members")
 
