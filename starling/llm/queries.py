@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import (decontaminate, kn_quality, line_dedup, minhash, near_vectors, packing, secrets, toxicity,
-                          url_filter, warc)
+from starling.llm import (decontaminate, divergence, fingerprints, kn_quality, line_dedup, minhash, near_vectors, packing, secrets,
+                          toxicity, url_filter, vector_codes, warc)
 from starling.llm.common import scratch
 
 
@@ -60,6 +60,18 @@ def op10_kn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kn_quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).drop("version")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(_read(spark, sf_dir, "documents"))
+
+
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(vector_codes.encode(_read(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -71,6 +83,9 @@ QUERIES = {
     "op8_line_spread": op8_line_spread,
     "op9_decontamination": op9_decontamination,
     "op10_kn_quality": op10_kn_quality,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_divergence_audit": op12_divergence_audit,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 
@@ -81,6 +96,38 @@ def _term(term: str) -> str:
 _STRICT = " + ".join(f"{_term(t)}::int" for t in url_filter.STRICT)
 _SOFT = " + ".join(f"{_term(t)}::int" for t in url_filter.SOFT)
 
+
+def _vector_codes_sql() -> str:
+    """The rounds one after the other: each assigns every part (a) and moves the codebook's entries (b)."""
+    ctes = ["""v AS MATERIALIZED (
+            SELECT vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x)) AS c FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (
+            SELECT vec_id, label, k, c[k * len(c) // 4 + 1:(k + 1) * len(c) // 4] AS x FROM v, range(4) AS t(k)),
+        b0 AS MATERIALIZED (
+            SELECT * FROM (SELECT k, row_number() OVER (PARTITION BY k ORDER BY vec_id) - 1 AS e, x FROM p) WHERE e < 256)"""]
+    for r in range(5):
+        ctes.append(f"""a{r} AS MATERIALIZED (
+            SELECT vec_id, any_value(label) AS label, k, any_value(x) AS x, min((d, e)) AS best
+            FROM (SELECT vec_id, label, p.k, p.x, e,
+                         list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+                  FROM p JOIN b{r} b ON p.k = b.k) GROUP BY vec_id, k)""")
+        if r < 4:
+            ctes.append(f"""m{r} AS (
+            SELECT k, e, list(c ORDER BY i) AS x FROM (
+                SELECT k, best[2] AS e, i, floor(sum(x[i]) / count(*)) AS c
+                FROM (SELECT k, best, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY 1, 2, 3) GROUP BY 1, 2),
+        b{r + 1} AS MATERIALIZED (SELECT k, e, coalesce(m{r}.x, b{r}.x) AS x FROM b{r} LEFT JOIN m{r} USING (k, e))""")
+    return f"""
+        WITH {", ".join(ctes)},
+        h AS (SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY k, e, i)) AS digest FROM (
+            SELECT k, e, unnest(x) AS c, unnest(range(len(x))) AS i FROM b4)),
+        r AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', best[2]::BIGINT), '' ORDER BY k) AS code,
+                     sum(best[1])::BIGINT AS error FROM a4 GROUP BY vec_id)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, digest AS codebooks_sha256
+        FROM r, h"""
+
+
 ORACLE = {
     "op1_near_vectors": """
         WITH RECURSIVE v AS (
@@ -138,4 +185,34 @@ ORACLE = {
                count(*) AS n_lines, (count(*) FILTER (gone)) AS n_removed,
                (count(*) FILTER (NOT gone AND trim(line) <> '')) AS n_left
         FROM marked GROUP BY doc_id""",
+    "op12_divergence_audit": r"""
+        WITH d AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+            FROM documents),
+        w AS MATERIALIZED (
+            SELECT row, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+        k AS MATERIALIZED (SELECT lang, term FROM w GROUP BY 1, 2 HAVING count(DISTINCT row) >= 3),
+        v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+        c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+        t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY 1, 2),
+        g AS MATERIALIZED (
+            SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v
+            FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN t USING (lang, source) LEFT JOIN v USING (lang)),
+        p AS MATERIALIZED (
+            SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (total + v)::HUGEINT AS p
+            FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+        q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 1)) // (any_value(whole) + any_value(v))::HUGEINT AS q
+              FROM c JOIN (SELECT lang, sum(total) AS whole, any_value(v) AS v FROM g GROUP BY lang) USING (lang) GROUP BY 1, 2),
+        s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        u AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+        r AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM u)
+        SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200""",
+    "op13_vector_codes": _vector_codes_sql(),
 }
