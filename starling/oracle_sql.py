@@ -375,3 +375,11 @@ SELECT *, 'INSERT' AS _action FROM (SELECT * FROM gi2 EXCEPT ALL SELECT * FROM g
 ORACLE["distinct_customers"] = _with(DOCS) + "SELECT DISTINCT customer_id, tier1 AS loyalty_tier, segment FROM docs"
 ORACLE["landing_times"] = """
 SELECT CAST(o_orderkey AS DECIMAL(38,0)) AS order_id, CAST(date_trunc('second', o_orderdate) AS TIMESTAMP) AS ordered_at FROM orders"""
+
+# orders in files of 100,000 keys, numbered in key order
+ORACLE["split_array_load"] = ORACLE["json_lines_rows"] = """
+SELECT printf('keys_%05d.json', o_orderkey // 100000) AS file_name,
+       row_number() OVER (PARTITION BY o_orderkey // 100000 ORDER BY o_orderkey) AS row_number,
+       CAST(o_orderkey AS DECIMAL(38,0)) AS order_id,
+       (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS item_count, CAST(NULL AS VARCHAR) AS reject_reason
+FROM orders"""

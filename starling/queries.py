@@ -512,7 +512,40 @@ def q_file_listing(spark, sf_dir):
     return list_files(spark, drop).where(F.col("path").endswith(".txt")).select("file_name", (F.col("length") > 2).alias("has_rows"))
 
 
+def _large_files(spark, sf_dir, label: str, joined) -> str:
+    """Files of up to 100,000 order keys each, documents in key order; ``joined`` makes a file's text of them."""
+    docs = order_documents(load_tables(spark, sf_dir))
+    name = F.format_string("keys_%05d.json", F.floor(F.col("order_id") / 100_000).cast("bigint"))
+    files = docs.groupBy(name.alias("file_name")).agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("order_id", "doc"))), lambda x: x["doc"]).alias("_docs"))
+    drop = shared_path(spark, "queries", label)
+    write_json_array_files(files.select("file_name", joined(F.col("_docs")).alias("value")), drop)
+    return drop
+
+
+def _numbered_orders(rows: DataFrame) -> DataFrame:
+    return rows.select("file_name", "row_number", F.variant_get("payload", "$.order_id", "decimal(38,0)").alias("order_id"),
+                       F.variant_get("payload", "$.items", "array<variant>").alias("_i"), "reject_reason").select(
+        "file_name", "row_number", "order_id", F.size("_i").cast("bigint").alias("item_count"), "reject_reason")
+
+
+def q_split_array_load(spark, sf_dir):
+    """Array files, each read by several tasks that resume at an element."""
+    from starling.sources.split_arrays import read_split_arrays
+
+    drop = _large_files(spark, sf_dir, "split-arrays", lambda d: F.concat(F.lit("["), F.array_join(d, ",\n "), F.lit("]")))
+    return _numbered_orders(read_split_arrays(spark, drop, from_bytes=1))
+
+
+def q_json_lines_rows(spark, sf_dir):
+    """Row numbers of JSON Lines files that are read in splits."""
+    drop = _large_files(spark, sf_dir, "line-rows", lambda d: F.array_join(d, "\n"))
+    return _numbered_orders(read_landing(spark, drop, "lines"))
+
+
 QUERIES.update({
+    "split_array_load": q_split_array_load,
+    "json_lines_rows": q_json_lines_rows,
     "rejects_permissive": q_rejects_permissive,
     "store_change_feed": q_store_change_feed,
     "store_item_changes": q_store_item_changes,

@@ -22,6 +22,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 REASON_MALFORMED = "malformed JSON"
 REASON_NOT_DOCUMENT = "not a JSON array or object"
@@ -29,8 +30,6 @@ REASON_NULL_DOCUMENT = "null document"
 
 # The file source skips files older than this (relative to the newest seen); a hundred years skips none.
 MAX_FILE_AGE = "36500d"
-# Lines of one split fit in this many bits of a row number; the split's byte offset stands above them.
-LINE_BITS = 27
 
 
 def _reader(spark: SparkSession, streaming: bool, max_files_per_trigger: int | None):
@@ -53,30 +52,51 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """JSON Lines ``(file_name, row_number, value)``, blank lines left out; large files are split between tasks.
 
-    ``row_number`` grows with the line's place in its file and is unique there: the byte offset of the task's split
-    and the running number of the row in the task. It starts at 1 for a file that a task reads alone.
+    ``row_number`` is the line's number in its file, blank lines counted: a first pass counts the lines of each split, and a
+    line's number is that in its split and those of the splits before. A stream sees each split once only: there it is
+    the byte offset of the split and the number in the split, which grows with the line's place, is unique in the file, and is the
+    line's number in a file of one split.
     """
     df = _reader(spark, streaming, max_files_per_trigger).load(path)
-    rows = df.select(logical_name(F.col("_metadata.file_path"), path).alias("file_name"),
-                     F.shiftleft(F.col("_metadata.file_block_start"), LINE_BITS).alias("row_number"), "value")
-    if streaming:       # streams have no running row id of their own
-        rows = rows.mapInArrow(_numbered, rows.schema)
+    rows = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    numbered = rows.mapInArrow(_numbered, "path string, start long, value string, line long")
+    if streaming:
+        before = F.col("start")
     else:
-        in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-        rows = rows.withColumn("row_number", F.col("row_number") + in_task + 1)
-    return rows.where(F.trim("value") != "")
+        counts = rows.groupBy("path", "start").agg(F.count(F.lit(1)).alias("n"))          # one row per split
+        so_far = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+        first = counts.select("path", "start", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("before"))
+        numbered, before = numbered.join(first, ["path", "start"]), F.col("before")
+    return numbered.where(F.trim("value") != "").select(
+        logical_name(F.col("path"), path).alias("file_name"), (before + F.col("line")).alias("row_number"), "value")
 
 
 def _numbered(batches):
-    """Add the running number of each row in the task to ``row_number``."""
+    """Add ``line``, the running number of each row in its split; a task reads its splits one after the other."""
+    import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    seen = 0
+    split, seen = None, 0
     for batch in batches:
-        number = pc.add(batch.column("row_number"), pa.array(range(seen + 1, seen + batch.num_rows + 1), pa.int64()))
-        seen += batch.num_rows
-        yield pa.RecordBatch.from_arrays([batch.column("file_name"), number, batch.column("value")], names=batch.schema.names)
+        if not batch.num_rows:
+            continue
+        n = batch.num_rows
+        change = np.ones(n, bool)
+        for c in ("path", "start"):
+            col = batch.column(c)
+            same = pc.equal(col.slice(1), col.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            change[1:] &= same
+        change[1:] = ~change[1:]                           # where another split begins
+        first = (batch.column("path")[0].as_py(), batch.column("start")[0].as_py())
+        begin = np.maximum.accumulate(np.where(change, np.arange(n), 0))
+        line = np.arange(n) - begin + 1
+        if first == split:
+            line[begin == 0] += seen
+        split = (batch.column("path")[n - 1].as_py(), batch.column("start")[n - 1].as_py())
+        seen = int(line[-1])
+        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("start"), batch.column("value"), pa.array(line)],
+                                         names=["path", "start", "value", "line"])
 
 
 def _decoded(text: Column) -> Column:
@@ -171,9 +191,14 @@ def parse_json_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "array", streaming: bool = False,
                  max_files_per_trigger: int | None = None, strict: bool = False) -> DataFrame:
-    """Landing rows of an area in either format."""
+    """Landing rows of an area in a format: ``array``, ``lines``, or (not as a stream) ``large-array``, which reads
+    large array files by several tasks."""
+    if fmt == "large-array" and not streaming:
+        from starling.sources.split_arrays import read_split_arrays
+
+        return _landing(read_split_arrays(spark, path, strict=strict))
     if fmt not in ("array", "lines"):
-        raise ValueError(f"unknown format {fmt!r}")
+        raise ValueError(f"unknown format {fmt!r}" + " of a stream" * streaming)
     read = read_files if fmt == "array" else read_lines
     return landing_rows(read(spark, path, streaming, max_files_per_trigger), strict=strict)
 
@@ -181,7 +206,10 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "array", streaming:
 def landing_rows(files: DataFrame, load_ts: Column | None = None, strict: bool = False) -> DataFrame:
     """A2: file lineage projection ``(file_name, row_number, load_ts, payload, ...)``."""
     parse = parse_json_lines if "row_number" in files.columns else parse_json_arrays
-    parsed = parse(files, strict=strict)
+    return _landing(parse(files, strict=strict), load_ts)
+
+
+def _landing(parsed: DataFrame, load_ts: Column | None = None) -> DataFrame:
     ts = F.current_timestamp() if load_ts is None else load_ts
     return parsed.select("file_name", "row_number", ts.cast("timestamp").alias("load_ts"),
                          "payload", "reject_reason", "raw")

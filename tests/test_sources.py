@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -160,3 +161,26 @@ def test_permissive_mode_rejects_bad_items(spark, tmp_root):
     assert sorted(int(r["order_id"]) for r in stage1.latest_orders(land, strict=False).collect()) == [1, 7, 8]
     assert {r["reason"] for r in stage1.rejected_rows(land, strict=False).collect()} == {stage1.REASON_BAD_VALUE}
     assert stage1.rejected_rows(land, strict=False).count() == 5
+
+
+def test_line_numbers_across_splits_and_files(spark, tmp_root):
+    import os
+
+    from starling.sources.json_files import read_lines
+
+    os.makedirs(f"{tmp_root}/lines/sub")
+    texts = {f"sub/f{k}.json": "\n".join(json.dumps({"order_id": i, "pad": "p" * (i % 50)}) if i % 7 else " " for i in range(1, 40 * k)) + "\n" * (k % 3)
+             for k in range(1, 9)}
+    for name, text in texts.items():
+        with open(f"{tmp_root}/lines/{name}", "w") as f:
+            f.write(text)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    want = sorted((name, i + 1, line) for name, text in texts.items() for i, line in enumerate(text.split("\n")) if line.strip())
+    try:
+        for size in ("3000", "100000"):                    # four splits of a file; several files in a task
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            assert sorted(tuple(r) for r in read_lines(spark, f"{tmp_root}/lines").collect()) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
