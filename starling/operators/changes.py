@@ -2,8 +2,8 @@
 
 ``net_changes`` (keyed, I2) returns what a change stream shows: an INSERT
 image for a new key, a DELETE image for a removed key, and DELETE + INSERT
-images with ``_is_update = true`` for a key whose values changed. One pass over
-one full outer join; the images are generated per joined row.
+images with ``_is_update = true`` for a key whose values changed. Both versions
+meet in one aggregation by key (``upsert.met_by_key``); the images are generated per key.
 
 ``multiset_changes`` (keyless, I3) is the multiset difference both ways
 (``EXCEPT ALL``) in one aggregation, for tables like order items that have no key.
@@ -11,26 +11,28 @@ one full outer join; the images are generated per joined row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starling.operators.upsert import met_by_key
+
 ACTION = "_action"
 IS_UPDATE = "_is_update"
 
 
 def net_changes(before: DataFrame, after: DataFrame, keys: list[str], cols: list[str] | None = None) -> DataFrame:
     cols = cols or [c for c in after.columns if c not in keys]
-    b = before.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_in_b"))
-    a = after.select(*keys, *cols, F.lit(True).alias("_in_a"))
-    j = b.join(a, on=keys, how="full_outer")
-    in_b, in_a = F.col("_in_b").isNotNull(), F.col("_in_a").isNotNull()
+    j = met_by_key(before.select(*keys, *cols), after.select(*keys, *cols), keys)
+    in_b, in_a = F.col("_l").isNotNull(), F.col("_r").isNotNull()
     same = F.lit(True)
     for c in cols:
-        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+        same = same & F.col("_l").getField(c).eqNullSafe(F.col("_r").getField(c))
     changed = in_a & in_b & ~same
-    del_img = F.struct(*[F.col(f"_b_{c}").alias(c) for c in cols], F.lit("DELETE").alias(ACTION),
-                       in_a.alias(IS_UPDATE))
-    ins_img = F.struct(*[F.col(c).alias(c) for c in cols], F.lit("INSERT").alias(ACTION), in_b.alias(IS_UPDATE))
+
+    def image(side: str, action: str, other: Column) -> Column:
+        return F.struct(*[F.col(side).getField(c).alias(c) for c in cols], F.lit(action).alias(ACTION), other.alias(IS_UPDATE))
+
+    del_img, ins_img = image("_l", "DELETE", in_a), image("_r", "INSERT", in_b)
     images = F.array(F.when(in_b & (~in_a | changed), del_img), F.when(in_a & (~in_b | changed), ins_img))
     out = j.select(*keys, F.explode(F.filter(images, lambda x: x.isNotNull())).alias("_img"))
     return out.select(*keys, *[F.col(f"_img.{c}").alias(c) for c in cols],

@@ -128,3 +128,46 @@ def test_multiset_changes_keep_duplicates(spark):
 
 def test_arrival_order_columns():
     assert len(arrival_order()) == 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_upsert_and_changes_have_no_join(spark):
+    t = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, n int")
+    s = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    for df in (merge_upsert(t, s, ["k"]), net_changes(t.select("k", "v"), s, ["k"])):
+        df.collect()
+        assert "Join" not in _plan(df) and "Exchange hashpartitioning(k" in _plan(df)
+
+
+def test_upsert_of_null_keys_and_two_keys(spark):
+    t = spark.createDataFrame([(1, None, "a"), (1, 2, "b"), (None, None, "c"), (3, 3, None)], "k int, j int, v string")
+    s = spark.createDataFrame([(1, None, "x"), (1, 2, None), (None, None, "y"), (3, 3, "z"), (4, 4, "n")], "k int, j int, v string")
+    got = sorted((tuple(r) for r in merge_upsert(t, s, ["k", "j"]).collect()), key=repr)
+    assert got == sorted([(1, None, "a", None), (1, None, "x", "INSERT"), (1, 2, None, "UPDATE"), (None, None, "c", None),
+                          (None, None, "y", "INSERT"), (3, 3, "z", "UPDATE"), (4, 4, "n", "INSERT")], key=repr)
+    images = sorted((tuple(r) for r in net_changes(t, s, ["k", "j"]).collect()), key=repr)
+    assert images == sorted([(1, None, "a", "DELETE", False), (1, None, "x", "INSERT", False), (1, 2, "b", "DELETE", True),
+                             (1, 2, None, "INSERT", True), (None, None, "c", "DELETE", False), (None, None, "y", "INSERT", False),
+                             (3, 3, None, "DELETE", True), (3, 3, "z", "INSERT", True), (4, 4, "n", "INSERT", False)], key=repr)
+
+
+def test_upsert_of_a_hot_key_moves_one_row_per_task(spark):
+    t = spark.range(100).select(F.col("id").alias("k"), F.lit("old").alias("v"), F.lit(0).cast("long").alias("at"))
+    s = spark.range(0, 30_000, 1, 6).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") + 50).alias("k"),
+                                            F.concat(F.lit("v"), F.col("id")).alias("v"), F.col("id").alias("at"))
+    merged = merge_upsert(t, s, ["k"], version=["at"])
+    rows = {r.k: r for r in merged.collect()}
+    assert rows[7].v == "v29999" and rows[7]._merge_action == "UPDATE" and rows[0]._merge_action is None
+    assert len(rows) == 100 + 10_000 - len(range(0, 50, 3)) and merged.count() == len(rows)
+    # the hot key's 20,000 rows leave the tasks as one row each: the latest is taken before the shuffle
+    text = _plan(merged)
+    assert "partial_max_by" in text and "Join" not in text
+
+
+def test_upsert_of_versions_without_values(spark):
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    s = spark.createDataFrame([(1, "b", None)], "k int, v string, at int")
+    assert [tuple(r) for r in merge_upsert(t, s, ["k"], version=["at"]).collect()] == [(1, "b", "UPDATE")]
