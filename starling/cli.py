@@ -3,10 +3,11 @@
     python -m starling.cli run --source <landing area> --state <state folder> [--once] [--every "1 minute"]
     python -m starling.cli diagnose --state <state folder>
     python -m starling.cli compact --state <state folder>
-    python -m starling.cli reset --state <state folder>
+    python -m starling.cli reset --state <state folder> [--replay]
 
 The session is the submitter's; only ``--master`` makes one with settings of its own. ``diagnose`` prints every row.
-``reset`` prints the folder of a fresh, empty state beside this one (nothing is removed).
+``reset`` prints the folder of a fresh, empty state beside this one (nothing is removed); with ``--replay`` all that has
+landed is processed into it again, without reading source files.
 
 ``run`` starts the file ingest (query 1) and the transform (query 2). With ``--once`` both drain what is
 there (``availableNow``) and stop; otherwise they trigger every ``--every``. The scheduler of the
@@ -24,6 +25,7 @@ from starling.session import build_session
 from starling.store.tables import Store
 from starling.streaming.ingest import start_ingest
 from starling.streaming.progress import ProgressRecorder
+from starling.streaming.replay import replay
 from starling.streaming.transform import run_until_drained, start_transform
 
 
@@ -31,11 +33,13 @@ def _run(spark, args) -> None:
     st = Store(spark, args.state, args.money)
     spark.streams.addListener(ProgressRecorder(spark, f"{st.root}/load_progress"))
     how = dict(strict=not args.permissive, strict_dims=args.strict_dims, compact_every=args.compact_every)
+    how["publish_changes"] = args.changes
+    take = dict(fmt=args.format, max_bytes_per_trigger=args.max_bytes, archive=args.archive)
     if args.once:
-        run_until_drained(start_ingest(spark, args.source, st, args.max_files, fmt=args.format))
+        run_until_drained(start_ingest(spark, args.source, st, args.max_files, **take))
         run_until_drained(start_transform(spark, st, **how))
         return
-    q1 = start_ingest(spark, args.source, st, args.max_files, available_now=False, processing_time=args.every, fmt=args.format)
+    q1 = start_ingest(spark, args.source, st, args.max_files, available_now=False, processing_time=args.every, **take)
     q2 = start_transform(spark, st, available_now=False, processing_time=args.every, **how)
     spark.streams.awaitAnyTermination()
     for q in (q1, q2):
@@ -74,6 +78,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--once", action="store_true")
     p.add_argument("--every", default="1 minute")
     p.add_argument("--max-files", type=int, default=None)
+    p.add_argument("--max-bytes", type=int, default=None)
+    p.add_argument("--archive", help="folder to which loaded files are moved")
+    p.add_argument("--changes", action="store_true", help="append each batch's change images to the change log")
+    p.add_argument("--replay", action="store_true")
     p.add_argument("--money", default="number", choices=["number", "cents"])
     p.add_argument("--permissive", action="store_true")
     p.add_argument("--strict-dims", action="store_true", help="fail a batch with conflicting dimension values")
@@ -88,7 +96,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "diagnose":
         _diagnose(spark, args)
     elif args.command == "reset":
-        print("fresh state", Store(spark, args.state, args.money).reset().root)
+        st = Store(spark, args.state, args.money)
+        fresh = replay(spark, st, strict=not args.permissive, strict_dims=args.strict_dims) if args.replay else st.reset()
+        print("fresh state", fresh.root)
     else:
         print("compacted up to batch", Store(spark, args.state, args.money).compact())
 

@@ -383,3 +383,20 @@ SELECT printf('keys_%05d.json', o_orderkey // 100000) AS file_name,
        CAST(o_orderkey AS DECIMAL(38,0)) AS order_id,
        (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS item_count, CAST(NULL AS VARCHAR) AS reject_reason
 FROM orders"""
+
+ORACLE["change_stream_two_readers"] = _with(DOCS, LINES, GROWING, """images AS (
+  SELECT 'orders' AS images, 0 AS batch_id, order_id, NULL::DECIMAL(38,0) AS product_id, NULL::DECIMAL(38,0) AS quantity, status1 AS status,
+         'INSERT' AS action, FALSE AS is_update FROM g WHERE in1
+  UNION ALL SELECT 'orders', 1, order_id, NULL, NULL, status1, 'DELETE', TRUE FROM g WHERE in1 AND in2
+  UNION ALL SELECT 'orders', 1, order_id, NULL, NULL, status1, 'INSERT', in1 FROM g WHERE in2
+  UNION ALL SELECT 'items', 0, order_id, product_id, quantity, NULL, 'INSERT', NULL FROM gi1
+  UNION ALL SELECT 'items', 1, order_id, product_id, quantity, NULL, 'DELETE', NULL FROM gi1 JOIN g USING (order_id) WHERE in1 AND in2
+  UNION ALL SELECT 'items', 1, order_id, product_id, quantity, NULL, 'INSERT', NULL FROM gi2 JOIN g USING (order_id) WHERE in2
+)""") + """
+SELECT reader, images, CAST(batch_id AS BIGINT) AS batch_id, order_id, product_id, quantity, status, action, is_update
+FROM images, (VALUES ('often'), ('once')) AS r(reader)"""
+ORACLE["replay_landing"] = ORACLE["fact_order_items"]
+ORACLE["load_progress_counts"] = _with(MIXED) + """
+SELECT CAST(rows AS BIGINT) AS landed, CAST(bad AS BIGINT) AS rejected, CAST(rows AS BIGINT) AS landing_rows, CAST(bad AS BIGINT) AS landing_rejects
+FROM (SELECT count(*) FILTER (WHERE kind <> 'twice') + count(DISTINCT file) FILTER (WHERE kind = 'twice') AS rows,
+             count(DISTINCT file) FILTER (WHERE kind = 'twice') AS bad FROM mixed)"""

@@ -420,11 +420,7 @@ def q_rejects_items(spark, sf_dir):
 def _growing(spark, sf_dir) -> dict:
     """Finished and partial orders with their fulfilled lines; then partial ones again with their open lines, and open
     orders for the first time."""
-    t = load_tables(spark, sf_dir)
-    first = order_documents(t, orders_where=F.coalesce(F.col("o_orderstatus") != "O", F.lit(True)),
-                            lines_where=F.col("l_linestatus") == "F", file_prefix="g1/")
-    second = order_documents(t, orders_where=F.col("o_orderstatus").isin("P", "O"),
-                             lines_where=F.coalesce(F.col("l_linestatus") != "F", F.lit(True)), file_prefix="g2/")
+    first, second = _growing_documents(spark, sf_dir)
     lat1, lat2 = (_materialized(stage1.latest_orders(scenario.landing_of(d, i))) for i, d in ((1, first), (2, second)))
     o1, i1 = stage1.staged_orders(lat1), stage1.staged_items(lat1)
     return dict(o1=o1, i1=i1, o2=merge_upsert(o1, stage1.staged_orders(lat2), ["order_id"]),
@@ -512,6 +508,84 @@ def q_file_listing(spark, sf_dir):
     return list_files(spark, drop).where(F.col("path").endswith(".txt")).select("file_name", (F.col("length") > 2).alias("has_rows"))
 
 
+def _growing_documents(spark, sf_dir) -> list[DataFrame]:
+    t = load_tables(spark, sf_dir)
+    return [order_documents(t, orders_where=F.coalesce(F.col("o_orderstatus") != "O", F.lit(True)),
+                            lines_where=F.col("l_linestatus") == "F", file_prefix="g1/"),
+            order_documents(t, orders_where=F.col("o_orderstatus").isin("P", "O"),
+                            lines_where=F.coalesce(F.col("l_linestatus") != "F", F.lit(True)), file_prefix="g2/")]
+
+
+def _followed(spark, st: Store, table: str, reader: str) -> DataFrame:
+    """Drain what the change stream of ``table`` has for ``reader`` into its own table, with its own checkpoint."""
+    from starling.streaming.change_log import read_changes
+
+    out = f"{st.root}/_readers/{reader}/{table}"
+    changes = read_changes(spark, st, table)
+    query = (changes.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-checkpoint")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.schema(changes.schema).parquet(out)
+
+
+def q_change_stream_two_readers(spark, sf_dir):
+    """Two batches; one reader follows batch by batch, another drains both at the end, a third publish adds nothing."""
+    from starling.streaming.change_log import publish
+
+    st = _store(spark, "followed")
+    for i, docs in enumerate(_growing_documents(spark, sf_dir)):
+        store_pipeline.load_batch(st, scenario.landing_of(docs, i + 1))
+        publish(st)
+        for table in ("stg_orders", "stg_order_items"):
+            _followed(spark, st, table, "often")
+    publish(st)
+    out = None
+    for reader in ("often", "once"):
+        orders = _followed(spark, st, "stg_orders", reader).select(
+            F.lit(reader).alias("reader"), F.lit("orders").alias("images"), "batch_id", "order_id", F.lit(None).cast("decimal(38,0)").alias("product_id"),
+            F.lit(None).cast("decimal(38,0)").alias("quantity"), "status", F.col("_action").alias("action"), F.col("_is_update").alias("is_update"))
+        items = _followed(spark, st, "stg_order_items", reader).select(
+            F.lit(reader).alias("reader"), F.lit("items").alias("images"), "batch_id", "order_id", "product_id", "quantity",
+            F.lit(None).cast("string").alias("status"), F.col("_action").alias("action"), F.lit(None).cast("boolean").alias("is_update"))
+        both = orders.unionByName(items)
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+def q_replay_landing(spark, sf_dir):
+    """The initial orders as a batch load, the re-sent ones as a stream; all that landed is replayed into a fresh state."""
+    from starling.streaming.ingest import start_ingest
+    from starling.streaming.replay import replay
+    from starling.streaming.transform import run_until_drained, start_transform
+
+    st = _store(spark, "replayed")
+    t = load_tables(spark, sf_dir)
+    store_pipeline.load_batch(st, scenario.landing_of(scenario.initial_documents(t), 1))
+    drop = f"{st.root}/_incoming"
+    write_json_array_files(documents_to_files(scenario.resend_documents(t)), drop)
+    run_until_drained(start_ingest(spark, drop, st))
+    run_until_drained(start_transform(spark, st))
+    return replay(spark, st).current("fact_order_items").select(*FACT_ITEM_COLS)
+
+
+def q_load_progress_counts(spark, sf_dir):
+    """Rows landed and rejected as the reports of the ingest stream tell, summed over its micro-batches."""
+    from starling.streaming.ingest import start_ingest
+    from starling.streaming.progress import progress_rows
+    from starling.streaming.transform import run_until_drained
+
+    st = _store(spark, "progress")
+    drop = _mixed_files(spark, sf_dir, "progress-in")
+    some = list_files(spark, drop).count() // 4 + 1        # a query keeps its last hundred reports
+    q = start_ingest(spark, drop, st, max_files_per_trigger=some)
+    run_until_drained(q)
+    told = progress_rows(spark, q).agg(F.sum("rows_landed").alias("landed"), F.sum("rows_rejected").alias("rejected"))
+    there = st.landing().agg(F.count(F.lit(1)).alias("landing_rows"), F.count("reject_reason").alias("landing_rejects"))
+    return told.withColumn("one", F.lit(1)).join(there.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 def _large_files(spark, sf_dir, label: str, joined) -> str:
     """Files of up to 100,000 order keys each, documents in key order; ``joined`` makes a file's text of them."""
     docs = order_documents(load_tables(spark, sf_dir))
@@ -546,6 +620,9 @@ def q_json_lines_rows(spark, sf_dir):
 QUERIES.update({
     "split_array_load": q_split_array_load,
     "json_lines_rows": q_json_lines_rows,
+    "change_stream_two_readers": q_change_stream_two_readers,
+    "replay_landing": q_replay_landing,
+    "load_progress_counts": q_load_progress_counts,
     "rejects_permissive": q_rejects_permissive,
     "store_change_feed": q_store_change_feed,
     "store_item_changes": q_store_item_changes,

@@ -19,6 +19,7 @@ produces) names its file.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,24 +33,45 @@ REASON_NULL_DOCUMENT = "null document"
 MAX_FILE_AGE = "36500d"
 
 
-def _reader(spark: SparkSession, streaming: bool, max_files_per_trigger: int | None):
+@dataclass(frozen=True)
+class Discovery:
+    """How a stream takes new files: how many (files or bytes) at a time, and where loaded ones are moved.
+
+    With an archive the landing area, and so the listing of each trigger, stays small: Spark moves a file, with its path,
+    once the batch that loaded it is complete and a later trigger has looked for files. What was loaded is kept by the landing table.
+    """
+
+    max_files: int | None = None
+    max_bytes: int | None = None
+    archive: str | None = None
+
+    def options(self) -> dict:
+        if self.max_files and self.max_bytes:
+            raise ValueError("a micro-batch is bounded by files or by bytes, not both")
+        out = {"maxFileAge": MAX_FILE_AGE, "maxFilesPerTrigger": self.max_files, "maxBytesPerTrigger": self.max_bytes}
+        if self.archive:
+            out |= {"cleanSource": "archive", "sourceArchiveDir": self.archive}
+        return {k: v for k, v in out.items() if v}
+
+
+def _reader(spark: SparkSession, streaming: bool, discovery: Discovery | int | None):
     reader = (spark.readStream if streaming else spark.read).format("text").option("recursiveFileLookup", True)
     if streaming:
-        reader = reader.option("maxFileAge", MAX_FILE_AGE)
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+        if not isinstance(discovery, Discovery):
+            discovery = Discovery(max_files=discovery)
+        reader = reader.options(**discovery.options())
     return reader
 
 
 def read_files(spark: SparkSession, path: str, streaming: bool = False,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: Discovery | int | None = None) -> DataFrame:
     """Whole-file text rows ``(file_name, value)`` from a landing area and all its folders."""
     df = _reader(spark, streaming, max_files_per_trigger).option("wholetext", True).load(path)
     return df.select(logical_name(F.col("_metadata.file_path"), path).alias("file_name"), "value")
 
 
 def read_lines(spark: SparkSession, path: str, streaming: bool = False,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: Discovery | int | None = None) -> DataFrame:
     """JSON Lines ``(file_name, row_number, value)``, blank lines left out; large files are split between tasks.
 
     ``row_number`` is the line's number in its file, blank lines counted: a first pass counts the lines of each split, and a
@@ -190,7 +212,7 @@ def parse_json_lines(lines: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str = "array", streaming: bool = False,
-                 max_files_per_trigger: int | None = None, strict: bool = False) -> DataFrame:
+                 max_files_per_trigger: Discovery | int | None = None, strict: bool = False) -> DataFrame:
     """Landing rows of an area in a format: ``array``, ``lines``, or (not as a stream) ``large-array``, which reads
     large array files by several tasks."""
     if fmt == "large-array" and not streaming:

@@ -183,7 +183,7 @@ def run_batch(store: Store, landing: DataFrame, batch_id: int | None = None, que
 
 def load_batch(store: Store, landing: DataFrame, batch_id: int | None = None, **kw) -> dict:
     """A3 + I9/I10 in batch mode: land the rows under ``batch_id`` then run the batch."""
-    batch_id = store.last_commit() + 1 if batch_id is None else batch_id
+    batch_id = store.next_load() if batch_id is None else batch_id
     if batch_id <= store.last_commit():
         return {"batch_id": batch_id, "skipped": True}
     store.write("landing_loads", landing, batch_id)

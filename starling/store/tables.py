@@ -51,10 +51,17 @@ def _with_batch(schema: T.StructType, data_col: bool = False) -> T.StructType:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, money: str = "number"):
+    def __init__(self, spark: SparkSession, root: str, money: str = "number", landing_root: str | None = None):
+        """``landing_root``: the state whose landing tables (and ingest checkpoint) this one shares; kept with the state."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.money = money
+        mark = f"{self.root}/_landing_root"
+        if landing_root is not None and not self.exists(mark):
+            spark.createDataFrame([(landing_root,)], "root string").coalesce(1).write.parquet(mark)
+        elif landing_root is None and self.exists(mark):
+            landing_root = spark.read.schema("root string").parquet(mark).first()[0]
+        self.landing_root = (landing_root or self.root).rstrip("/")
         self.schemas = {
             "stg_orders": S.stg_orders(money), "stg_order_items": S.stg_order_items(money),
             "dim_customer": S.DIM_CUSTOMER, "dim_product": S.DIM_PRODUCT,
@@ -68,15 +75,16 @@ class Store:
 
     # ------------------------------------------------------------ paths / fs
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        return f"{self.landing_root if table == 'landing_loads' else self.root}/{table}"
 
     @property
     def landing_path(self) -> str:
         """Landing table written by the streaming file sink (A5)."""
-        return f"{self.root}/landing"
+        return f"{self.landing_root}/landing"
 
     def checkpoint(self, name: str) -> str:
-        return f"{self.root}/_checkpoints/{name}"
+        """The ingest checkpoint belongs to the landing table, the others to this state."""
+        return f"{self.landing_root if name == 'ingest' else self.root}/_checkpoints/{name}"
 
     def _fs(self, path: str):
         jvm = self.spark._jvm
@@ -243,10 +251,25 @@ class Store:
     def landing(self) -> DataFrame:
         """Every landed row: batch loads plus the streaming sink's table."""
         loads = self.spark.read.schema(_with_batch(S.LANDING)).parquet(self.path("landing_loads")).drop(BATCH)
-        if self.exists(f"{self.landing_path}/_spark_metadata"):
+        if self.has_streamed():
             loads = loads.unionByName(self.spark.read.schema(S.LANDING).parquet(self.landing_path))
         return loads
 
+    def has_streamed(self) -> bool:
+        """Whether the streamed landing table exists."""
+        return self.exists(f"{self.landing_path}/_spark_metadata")
+
+    def landed_batches(self) -> list[int]:
+        """Ids of the batch loads that have landed, committed or not."""
+        fs, p = self._fs(self.path("landing_loads"))
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}="))
+
+    def next_load(self) -> int:
+        """The id of the next batch load: behind all commits and, where landing tables are shared, all loads there."""
+        last = self.last_commit()
+        return 1 + (last if self.landing_root == self.root else max([last, *self.landed_batches()]))
+
     # ------------------------------------------------------------ commits
     def commits(self) -> DataFrame:
         return self.spark.read.schema(S.COMMITS).parquet(self.path("commits"))
@@ -320,7 +343,7 @@ class Store:
         self.spark.createDataFrame([(upto,)], "v long").write.mode("append").parquet(f"{self.root}/_base_marks")
         return upto
 
-    def reset(self) -> "Store":
-        """A fresh, empty state next to this one (never truncate in place)."""
+    def reset(self, keep_landing: bool = False) -> "Store":
+        """A fresh, empty state next to this one (never truncate in place); ``keep_landing``: with its landing tables."""
         parent = self.root.rsplit("/", 1)[0]
-        return Store(self.spark, f"{parent}/state-{uuid.uuid4().hex[:12]}", self.money)
+        return Store(self.spark, f"{parent}/state-{uuid.uuid4().hex[:12]}", self.money, self.landing_root if keep_landing else None)

@@ -12,14 +12,21 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 PROGRESS_SCHEMA = ("query_name string, run_id string, batch_id long, ts string, num_input_rows long, "
-                   "input_rows_per_second double, processed_rows_per_second double, duration_ms long")
+                   "input_rows_per_second double, processed_rows_per_second double, duration_ms long, "
+                   "rows_landed long, rows_rejected long")
+
+# The name under which the ingest stream counts what lands; a stream without it has no such counts.
+LANDED = "landed"
 
 
 def _row(p) -> tuple:
     d = p if isinstance(p, dict) else json.loads(p.json)
+    landed = (d.get("observedMetrics") or {}).get(LANDED) or {}
+    if hasattr(landed, "asDict"):
+        landed = landed.asDict()
     return (d.get("name"), d.get("runId"), d.get("batchId"), d.get("timestamp"), d.get("numInputRows"),
             float(d.get("inputRowsPerSecond") or 0.0), float(d.get("processedRowsPerSecond") or 0.0),
-            int((d.get("durationMs") or {}).get("triggerExecution", 0)))
+            int((d.get("durationMs") or {}).get("triggerExecution", 0)), landed.get("rows_landed"), landed.get("rows_rejected"))
 
 
 def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
