@@ -400,3 +400,22 @@ ORACLE["load_progress_counts"] = _with(MIXED) + """
 SELECT CAST(rows AS BIGINT) AS landed, CAST(bad AS BIGINT) AS rejected, CAST(rows AS BIGINT) AS landing_rows, CAST(bad AS BIGINT) AS landing_rejects
 FROM (SELECT count(*) FILTER (WHERE kind <> 'twice') + count(DISTINCT file) FILTER (WHERE kind = 'twice') AS rows,
              count(DISTINCT file) FILTER (WHERE kind = 'twice') AS bad FROM mixed)"""
+
+ORACLE["insert_by_name"] = ORACLE["explode_items"]
+ORACLE["insert_positional"] = _with(DOCS, LINES) + """
+SELECT d.order_id, d.order_date, li.product_id, li.category, li.unit_price AS quantity, li.quantity AS unit_price, d.file1 AS file_name
+FROM docs d JOIN lines li ON li.l_orderkey = d.o_orderkey"""
+ORACLE["tied_order_versions"] = "SELECT CAST(o_orderkey AS DECIMAL(38,0)) AS order_id, 'T' AS status FROM orders"
+ORACLE["tied_items"] = _with(LINES) + """
+SELECT CAST(l_orderkey AS DECIMAL(38,0)) AS order_id, product_id, quantity FROM lines
+WHERE l_linestatus = 'F' AND l_orderkey IN (SELECT o_orderkey FROM orders)"""
+# the latest document: greatest file name, then greatest place in it
+ORACLE["tied_dim_customer"] = _with(DOCS) + f"""
+SELECT customer_id, CASE WHEN late THEN tier1 ELSE {promote('tier1')} END AS loyalty_tier
+FROM (SELECT d.*, d.o_orderkey % 2 = 0 AS late,
+             row_number() OVER (PARTITION BY customer_id ORDER BY d.o_orderkey % 2, file1 DESC, d.o_orderkey DESC) AS rn
+      FROM docs d WHERE customer_id IS NOT NULL)
+WHERE rn = 1"""
+ORACLE["clock_columns"] = """
+SELECT o_orderstatus, CAST(1 AS BIGINT) AS clocks, CAST(1 AS BIGINT) AS second_clocks, TRUE AS whole_seconds, TRUE AS same_time
+FROM orders GROUP BY o_orderstatus"""

@@ -586,6 +586,77 @@ def q_load_progress_counts(spark, sf_dir):
     return told.withColumn("one", F.lit(1)).join(there.withColumn("one", F.lit(1)), "one").drop("one")
 
 
+def _inserted_items(spark, sf_dir, how: str) -> DataFrame:
+    """Staged items inserted into a declared table from columns in another order, after a truncate of a first insert."""
+    from starling import schemas as S
+    from starling.store.catalog import Catalog
+
+    lat1 = stage1.latest_orders(scenario.two_batches(spark, sf_dir)[0])
+    swapped = stage1.staged_items(lat1).select("order_id", "order_date", "product_id", "category", "unit_price", "quantity", "file_name",
+                                               "ingested_at_ltz", "updated_at_ltz")
+    catalog = Catalog(spark)
+    catalog.create_or_replace("stg_order_items", S.stg_order_items())
+    catalog.insert_by_name("stg_order_items", swapped)
+    catalog.truncate("stg_order_items")
+    getattr(catalog, how)("stg_order_items", swapped)
+    return catalog.read("stg_order_items").select(*ITEM_COLS)
+
+
+def q_insert_positional(spark, sf_dir):
+    """Prices land in the quantity column and the other way round, as the position says."""
+    return _inserted_items(spark, sf_dir, "insert_positional")
+
+
+def q_insert_by_name(spark, sf_dir):
+    return _inserted_items(spark, sf_dir, "insert_by_name")
+
+
+def _tied_documents(spark, sf_dir) -> DataFrame:
+    """Every order twice in one load, in different files; the second time with its customer's tier promoted, so that the
+    orders of a customer, and the two versions of each order, conflict inside the batch."""
+    t = load_tables(spark, sf_dir)
+    return order_documents(t, file_prefix="t1/").unionByName(
+        order_documents(t, lines_where=F.col("l_linestatus") == "F", status=F.lit("T"), promote_tier=True, file_prefix="t2/"))
+
+
+def _tied_state(spark, sf_dir) -> Store:
+    st = _store(spark, "tied")
+    store_pipeline.load_batch(st, scenario.landing_of(_tied_documents(spark, sf_dir), 1))
+    return st
+
+
+def q_tied_order_versions(spark, sf_dir):
+    """Of the versions of an order in one load the one of the greatest file name, then row, is taken."""
+    return _tied_state(spark, sf_dir).current("fact_orders").select("order_id", "status")
+
+
+def q_tied_items(spark, sf_dir):
+    return _tied_state(spark, sf_dir).current("fact_order_items").select("order_id", "product_id", "quantity")
+
+
+def q_tied_dim_customer(spark, sf_dir):
+    """A customer with several tiers in one batch gets that of the latest order document; the other half of the
+    customers' orders come unpromoted, in a later file."""
+    t = load_tables(spark, sf_dir)
+    late = F.col("o_orderkey") % 2 == 0
+    docs = order_documents(t, orders_where=~late, promote_tier=True, file_prefix="u1/").unionByName(
+        order_documents(t, orders_where=late, file_prefix="u2/"))
+    st = _store(spark, "tied-dims")
+    store_pipeline.load_batch(st, scenario.landing_of(docs, 1))
+    return st.current("dim_customer").select("customer_id", "loyalty_tier")
+
+
+def q_clock_columns(spark, sf_dir):
+    """H1, H2: every row of a load has one clock, in whole seconds where asked for."""
+    from starling.functions.clock import now, now_seconds
+
+    rows = _table(spark, sf_dir, "orders").select("o_orderstatus", now().alias("n"), now_seconds().alias("s"))
+    return rows.groupBy("o_orderstatus").agg(
+        F.count_distinct("n").cast("bigint").alias("clocks"), F.count_distinct("s").cast("bigint").alias("second_clocks"),
+        F.max(F.date_trunc("second", "s") == F.col("s")).alias("whole_seconds"),
+        F.max(F.col("n").between(F.col("s") - F.expr("interval 1 second"), F.col("s") + F.expr("interval 1 second"))).alias("same_time"))
+
+
 def _large_files(spark, sf_dir, label: str, joined) -> str:
     """Files of up to 100,000 order keys each, documents in key order; ``joined`` makes a file's text of them."""
     docs = order_documents(load_tables(spark, sf_dir))
@@ -620,6 +691,12 @@ def q_json_lines_rows(spark, sf_dir):
 QUERIES.update({
     "split_array_load": q_split_array_load,
     "json_lines_rows": q_json_lines_rows,
+    "insert_positional": q_insert_positional,
+    "insert_by_name": q_insert_by_name,
+    "tied_order_versions": q_tied_order_versions,
+    "tied_items": q_tied_items,
+    "tied_dim_customer": q_tied_dim_customer,
+    "clock_columns": q_clock_columns,
     "change_stream_two_readers": q_change_stream_two_readers,
     "replay_landing": q_replay_landing,
     "load_progress_counts": q_load_progress_counts,
