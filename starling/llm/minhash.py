@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from starling.llm.common import connected_components, each_binary, small_side, table
 
@@ -19,7 +18,8 @@ ZERO_BITS, MANTISSA_BITS = 6, 10
 EMPTY = 0xFFFF
 MISS = 1e-5                     # a pair at the similarity asked for may miss all bands with this probability at most
 ESTIMATE_SIGMAS = 4.5
-OUTSIDERS = 256                 # members of a bucket that are compared with all others in one round
+TILE_BYTES = 2 << 20            # texts of a tile, about; a task compares the members of two tiles
+LEAST_WEIGHT = 1 << 12          # bytes that a member of a tile counts as at least
 CHUNK = 1 << 20                 # bytes of text hashed at once
 
 _U = np.uint64
@@ -314,6 +314,87 @@ def _labels(members: DataFrame, components: DataFrame | None) -> DataFrame:
     return members.join(named, "key", "left").withColumn("label", F.coalesce("component", "key")).drop("component")
 
 
+def _tiles(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key, label, tile``: the classes of ``mixed(band, key, leader, label)`` dealt into tiles of about TILE_BYTES.
+
+    A class's home is the leader with which it shares most buckets; classes that homes connect stand in the same tile, or, if
+    they weigh more, in as many as it takes, by hash. So classes that share buckets stand in few tiles.
+    """
+    homes = table(mixed.groupBy("key", "leader").agg(F.count(F.lit(1)).alias("n"), F.first("label").alias("label")).groupBy("key").agg(
+        F.max_by("leader", F.struct("n", "leader")).alias("home"), F.first("label").alias("label")), "homes")
+    clusters = connected_components(homes.select(F.col("key").alias("src"), F.col("home").alias("dst")))
+    weight = F.greatest(F.lit(LEAST_WEIGHT), 8 * F.col("n_shingles"))
+    placed = (homes.join(clusters.select(F.col("node").alias("key"), "component"), "key", "left")
+              .select("key", "label", F.coalesce("component", "key").alias("cluster"))
+              .join(classes.select("key", weight.alias("weight")), "key"))
+    placed = table(placed, "clusters")
+    chunks = F.ceil(F.sum("weight") / TILE_BYTES).cast("long")
+    sizes = small_side(table(placed.groupBy("cluster").agg(chunks.alias("chunks")), "cluster-sizes"))
+    return placed.join(sizes, "cluster").select("key", "label", F.xxhash64("cluster", F.pmod(F.xxhash64("key"), F.col("chunks"))).alias("tile"))
+
+
+def _links_of_tiles(a: list[tuple], b: list[tuple] | None, width: int, numerator: int, denominator: int,
+                    hashes: WordHashes, probes: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+    """Links ``(key, key)`` that connect the members ``(key, label, text)`` of two tiles (or of one, without ``b``).
+
+    All pairs of different labels that share a band and pass the size bound and the estimate are compared by their full sets,
+    but for those that links found before connect already.
+    """
+    rows = a + (b or [])
+    sets = list(shingle_sets([r[2] for r in rows], width, hashes))
+    registers = np.stack([registers_of(s) for s in sets])
+    bands = band_hashes(registers, probes, *bands_for(numerator / denominator))
+    size = np.array([len(s) for s in sets])
+    names = {label: i for i, label in enumerate(dict.fromkeys(r[1] for r in rows))}
+    label = np.array([names[r[1]] for r in rows])          # of linked members the same
+    limit = numerator / denominator
+    for i in range(len(a)):
+        low = i + 1 if b is None else len(a)
+        other = low + np.flatnonzero(label[low:] != label[i])
+        other = other[(np.minimum(size[other], size[i]) * denominator >= np.maximum(size[other], size[i]) * numerator)]
+        other = other[(bands[other] == bands[i]).any(1)]
+        if not len(other):
+            continue
+        found, used = estimate(np.broadcast_to(registers[i], (len(other), REGISTERS)), registers[other],
+                               np.full(len(other), size[i]), size[other])
+        for j in other[found >= limit - ESTIMATE_SIGMAS * np.sqrt(limit * (1 - limit) / np.maximum(used, 1)) - 1e-9].tolist():
+            if label[i] == label[j]:
+                continue
+            at = np.searchsorted(sets[j], sets[i])
+            common = int((sets[j][np.minimum(at, size[j] - 1)] == sets[i]).sum())
+            if denominator * common >= numerator * (int(size[i]) + int(size[j]) - common):
+                yield rows[i][0], rows[j][0]
+                label[label == label[j]] = label[i]
+
+
+def _links_between(mixed: DataFrame, classes: DataFrame, documents: DataFrame, id_col: str, text_col: str, width: int,
+                   numerator: int, denominator: int, repeated: bool) -> DataFrame:
+    """``src, dst``: links that connect all labels of the mixed buckets which any link connects.
+
+    The classes stand in tiles; two tiles are met in a task if a bucket has members in both. A task ships no pairs: it
+    returns a forest of the links that it found, at most one for each label.
+    """
+    tiles = table(_tiles(mixed, classes), "tiles")
+    texts = _texts(documents, tiles.select("key"), classes, id_col, text_col, width, repeated)
+    places = table(mixed.select("band", "key").join(tiles.select("key", "tile"), "key").select("band", "tile").distinct(), "bucket-tiles")
+    met = places.join(places.select("band", F.col("tile").alias("second")), "band").where("tile <= second").select(
+        F.col("tile").alias("first"), "second").distinct()
+    met = table(met, "tile-pairs")
+    sent = met.select("first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("tile"))
+    rows = sent.join(tiles, "tile").join(texts, "key").select("first", "second", "tile", "key", "label", "text")
+
+    def run(group: pa.Table) -> pa.Table:
+        tile = group.column("tile").to_numpy()
+        rows = list(zip(group.column("key").to_pylist(), group.column("label").to_pylist(), each_binary(group.column("text"))))
+        first, second = group.column("first")[0].as_py(), group.column("second")[0].as_py()
+        a = sorted(r for r, t in zip(rows, tile) if t == first)
+        b = None if first == second else sorted(r for r, t in zip(rows, tile) if t == second)
+        found = list(_links_of_tiles(a, b, width, numerator, denominator, WordHashes(), _probes()))
+        return pa.table({"src": pa.array([x for x, _ in found], pa.binary()), "dst": pa.array([y for _, y in found], pa.binary())})
+
+    return rows.groupBy("first", "second").applyInArrow(run, "src binary, dst binary")
+
+
 def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                     numerator: int = 85, denominator: int = 100) -> DataFrame:
     """One row per row of ``documents``: doc_id, n_shingles, component_id, kept.
@@ -321,11 +402,11 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     Documents whose shingle sets meet ``denominator * intersection >= numerator * union`` are linked; ``component_id`` is the
     least id that links reach, ``kept`` whether it is the row's own. Rows with equal sets are one class from the start, so
     copies are never paired. Classes share a bucket where all registers of a band are equal. First each class is compared
-    with one bucket leader (the least class), that with which it shares most buckets. Then members outside their leader's
-    component are compared with every member of another component, up to OUTSIDERS of a bucket in a round, until each has
-    been: all links between components are found without pairing a component with itself. Compared pairs pass the size
-    bound and the corrected estimate (ESTIMATE_SIGMAS standard errors below the similarity),
-    then the full sets decide. ``bands_for`` sets the bands by the similarity: two classes right at it share no bucket with a
+    with one bucket leader (the least class), that with which it shares most buckets. Then, in every bucket that still holds
+    several components, all members of different ones are compared: the classes stand in tiles, tiles that share a bucket meet
+    in a task, and what connects components comes back as a forest of links, so no pair is shipped and no component is compared
+    with itself. Compared pairs pass the size bound and the corrected estimate (ESTIMATE_SIGMAS standard errors below the
+    similarity), then the full sets decide. ``bands_for`` sets the bands by the similarity: two classes right at it share no bucket with a
     chance of MISS at most, closer ones more rarely. Empty and null texts have no shingles, link with nothing and are kept; rows repeated with
     their id are all kept or none; a null id is never a component's least, so such a row is kept only if it has no words or
     all rows of its component have null ids. Other columns are not read. Hot buckets are split by AQE (equi-joins on band and class), and minima combine before shuffles.
@@ -351,42 +432,24 @@ def _groups(documents: DataFrame, id_col: str, text_col: str, width: int, numera
 
     # only an id that comes twice can give a class two texts
     repeated = not rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-    edges = components = None
+    components = None
 
-    def compare(pairs: DataFrame) -> None:
-        nonlocal edges, components
-        candidates = table(_estimated(pairs, classes, numerator, denominator), "candidates")
-        if candidates.isEmpty():
-            return
+    shared = members.where("key <> leader").groupBy("leader", "key").agg(F.count(F.lit(1)).alias("n"))
+    pairs = shared.groupBy("key").agg(F.max_by("leader", F.struct("n", "leader")).alias("a")).select("a", F.col("key").alias("b"))
+    candidates = table(_estimated(pairs, classes, numerator, denominator), "candidates")
+    if not candidates.isEmpty():
         keys = table(candidates.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "candidate-keys")
         texts = _texts(documents, keys, classes, id_col, text_col, width, repeated)
-        found = _verified(candidates, texts, width, numerator, denominator)
-        edges = table(found if components is None else components.select(
-            F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(found), "links")
-        components = connected_components(edges)
-
-    shared = members.where("key <> leader").groupBy("leader", "key").agg(F.count(F.lit(1)).alias("n"))
-    compare(shared.groupBy("key").agg(F.max_by("leader", F.struct("n", "leader")).alias("a")).select("a", F.col("key").alias("b")))
-    served = None
-    while True:
-        labelled = table(_labels(members, components), "labelled")
-        lead = labelled.where("key = leader").select("band", F.col("label").alias("lead_label"))
-        outside = labelled.join(lead, "band").where("label <> lead_label").select("band", "key", "label")
-        if served is not None:
-            outside = outside.join(served, ["band", "key"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("key"))
-        chosen = table(outside.withColumn("rank", rank).where(F.col("rank") <= OUTSIDERS + 1), "outsiders")
-        most = chosen.agg(F.max("rank")).first()[0]
-        if most is None:
-            break
-        chosen = chosen.where(F.col("rank") <= OUTSIDERS)
-        others = chosen.select("band", F.col("key").alias("other"), F.col("label").alias("other_label"))
-        compare(labelled.join(others, "band").where("label <> other_label")
-                .select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct())
-        if most <= OUTSIDERS:
-            break
-        done = chosen.select("band", "key")
-        served = table(done if served is None else served.unionByName(done), "served")
+        components = connected_components(table(_verified(candidates, texts, width, numerator, denominator), "links"))
+
+    labelled = table(_labels(members, components), "labelled")
+    several = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
+    mixed = table(labelled.join(several, "band", "left_semi"), "mixed-buckets")
+    if not mixed.isEmpty():
+        more = table(_links_between(mixed, classes, documents, id_col, text_col, width, numerator, denominator, repeated), "more-links")
+        if not more.isEmpty():
+            known = [] if components is None else [components.select(F.col("node").alias("src"), F.col("component").alias("dst"))]
+            components = connected_components(reduce(DataFrame.unionByName, [more, *known]))
 
     return rows, _labels(classes.select("key", "least_id"), components)
 

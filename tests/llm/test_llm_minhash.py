@@ -68,16 +68,12 @@ def test_components_equal_brute_force(spark):
         assert got == brute(rows, width, num, 100)
 
 
-def test_outsiders_of_a_bucket_are_compared(spark):
-    """With one outsider a round, rounds go on until all members of a bucket have been compared."""
-    keep = minhash.OUTSIDERS
+def test_outsiders_of_a_bucket_are_compared(spark, monkeypatch):
+    """With tiles of a few members each, all members of a bucket are still compared across tiles."""
     rows = planted()
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    try:
-        minhash.OUTSIDERS = 1
-        got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(d).collect()}
-    finally:
-        minhash.OUTSIDERS = keep
+    monkeypatch.setattr(minhash, "TILE_BYTES", 3 * minhash.LEAST_WEIGHT)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(d).collect()}
     assert got == {i: c for i, (_, c) in brute(rows, 3, 85, 100).items()}
 
 
