@@ -18,7 +18,7 @@ ZERO_BITS, MANTISSA_BITS = 6, 10
 EMPTY = 0xFFFF
 MISS = 1e-5                     # a pair at the similarity asked for may miss all bands with this probability at most
 ESTIMATE_SIGMAS = 4.5
-TILE_BYTES = 2 << 20            # texts of a tile, about; a task compares the members of two tiles
+TILE_BYTES = 8 << 20            # texts of a tile, about; a task compares the members of two tiles
 LEAST_WEIGHT = 1 << 12          # bytes that a member of a tile counts as at least
 CHUNK = 1 << 20                 # bytes of text hashed at once
 
@@ -317,20 +317,29 @@ def _labels(members: DataFrame, components: DataFrame | None) -> DataFrame:
 def _tiles(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     """``key, label, tile``: the classes of ``mixed(band, key, leader, label)`` dealt into tiles of about TILE_BYTES.
 
-    A class's home is the leader with which it shares most buckets; classes that homes connect stand in the same tile, or, if
-    they weigh more, in as many as it takes, by hash. So classes that share buckets stand in few tiles.
+    A class's home is the leader with which it shares most buckets. The classes of a home stand in the same tile, or, if they
+    weigh more, in as many as it takes, by hash; small homes that buckets connect share tiles. So classes that share
+    buckets stand in few tiles.
     """
     homes = table(mixed.groupBy("key", "leader").agg(F.count(F.lit(1)).alias("n"), F.first("label").alias("label")).groupBy("key").agg(
         F.max_by("leader", F.struct("n", "leader")).alias("home"), F.first("label").alias("label")), "homes")
-    clusters = connected_components(homes.select(F.col("key").alias("src"), F.col("home").alias("dst")))
+    # homes with members in one bucket are of one cluster
+    near = table(mixed.select("band", "key").join(homes.select("key", "home"), "key").select("band", "home").distinct(), "bucket-homes")
+    least = near.groupBy("band").agg(F.min("home").alias("dst"))
+    clusters = connected_components(near.join(least, "band").select(F.col("home").alias("src"), "dst").where("src <> dst").distinct())
     weight = F.greatest(F.lit(LEAST_WEIGHT), 8 * F.col("n_shingles"))
-    placed = (homes.join(clusters.select(F.col("node").alias("key"), "component"), "key", "left")
-              .select("key", "label", F.coalesce("component", "key").alias("cluster"))
+    placed = (homes.join(clusters.select(F.col("node").alias("home"), "component"), "home", "left")
+              .select("key", "label", "home", F.coalesce("component", "home").alias("cluster"))
               .join(classes.select("key", weight.alias("weight")), "key"))
     placed = table(placed, "clusters")
-    chunks = F.ceil(F.sum("weight") / TILE_BYTES).cast("long")
-    sizes = small_side(table(placed.groupBy("cluster").agg(chunks.alias("chunks")), "cluster-sizes"))
-    return placed.join(sizes, "cluster").select("key", "label", F.xxhash64("cluster", F.pmod(F.xxhash64("key"), F.col("chunks"))).alias("tile"))
+    own = table(placed.groupBy("cluster", "home").agg(F.sum("weight").alias("weight")), "home-weights")
+    rest = own.where(F.col("weight") <= TILE_BYTES).groupBy("cluster").agg(F.ceil(F.sum("weight") / TILE_BYTES).cast("long").alias("shared"))
+    tiles = own.join(rest, "cluster", "left").select(
+        "cluster", "home", F.ceil(F.col("weight") / TILE_BYTES).cast("long").alias("chunks"), "shared")
+    tiles = small_side(table(tiles, "home-tiles"))
+    tile = F.when(F.col("chunks") > 1, F.xxhash64("cluster", "home", F.pmod(F.xxhash64("key"), F.col("chunks")))).otherwise(
+        F.xxhash64("cluster", F.pmod(F.xxhash64("home"), F.col("shared"))))
+    return placed.join(tiles, ["cluster", "home"]).select("key", "label", tile.alias("tile"))
 
 
 def _links_of_tiles(a: list[tuple], b: list[tuple] | None, width: int, numerator: int, denominator: int,
