@@ -11,6 +11,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -65,14 +66,15 @@ class Encoder:
 
     The byte-level pre-tokenizer starts a new token at a blank or line feed that stands between two characters that
     are no white space, and no merge crosses a token, so the ids of such a text are those of its words in order (a word
-    takes the blank before it). Texts with other white space or runs of it are encoded whole.
+    takes the blank before it). Texts with other white space or runs of it, and texts with the string of a special token
+    (which becomes that token's id), are encoded whole.
     """
 
     def __init__(self, path: str | None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer())
-        self.tokenizer.encode_special_tokens = True       # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.first, self.later = {}, {}
         self.feed = self.whole("\n")
@@ -102,7 +104,7 @@ class Encoder:
         if not text:
             return b""
         if ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n"
-                or any(c in text for c in RARE_SPACE)):
+                or any(c in text for c in RARE_SPACE) or any(s in text for s in self.special)):
             return self.whole(text)
         lines = [line.split(" ") for line in text.split("\n")]
         out = []
@@ -121,6 +123,12 @@ class Encoder:
         return self.whole(text)
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str | None) -> Encoder:
+    """One encoder for all tasks of a Python worker: its vocabulary is read, and its words are learnt, once."""
+    return Encoder(path)
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """``(start, length)`` of a document's pieces: full ones, but the first may be shorter."""
     first = (n - 1) % capacity + 1 if n else 0
@@ -135,7 +143,7 @@ def pieces_of(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen = Encoder(tokenizer_path), TaskContext.get().partitionId(), Counter()
+        encoder, part, seen = _encoder(tokenizer_path), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows, which = [], []
             for i, text in enumerate(batch.column("text").to_pylist()):

@@ -147,7 +147,9 @@ def test_packed_pieces_rebuild_the_tokens(spark, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(packing.default_tokenizer())
-    t.encode_special_tokens = True
+    special = [(200, "before <|endoftext|> after"), (201, "<|endoftext|>"), (202, "glued<|endoftext|>word and more"), (203, "<|endoftext| >")]
+    docs = docs.select("doc_id", "text").unionByName(docs.sparkSession.createDataFrame(special, "doc_id long, text string"))
+    assert 50256 in t.encode(special[0][1], add_special_tokens=False).ids
     rows = packing.pack(docs.where("doc_id is not null").dropDuplicates(["doc_id"]), with_ids=True).collect()
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     by_doc, by_seq = {}, {}
