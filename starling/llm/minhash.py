@@ -489,6 +489,8 @@ def keep_one(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         return documents.join(gone, same(gone), "left_anti")
     every = small_side(named)
     again = small_side(again, n)
-    version = f"version_{id_col}"
+    version = "version_"
+    while version in map(str.lower, documents.columns):
+        version += "_"
     once = documents.join(again, same(again), "left_semi").withColumn(version, F.xxhash64(text_col))
     return documents.join(every, same(every), "left_anti").unionByName(once.dropDuplicates([id_col, version]).drop(version))
