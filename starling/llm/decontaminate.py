@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -18,13 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import binary_values, small_side, table
+from starling.llm.common import each_binary, small_side, table
 
 WINDOW = 10
 SEGMENT_WORDS = 1 << 18
 BLOCK_BYTES = 8 << 20           # benchmark text searched at once; a block is collected and sent to the tasks
 ESCAPE = 255
-STEP = 1 << 20                  # candidates of one intersection step
+SEGMENT_DOCUMENTS = 1 << 14
+STEP = 1 << 17                  # candidates of one intersection step
 
 # A-Z lower-cased; ASCII digits, a-z and every byte of a multi-byte character are word characters.
 WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -35,18 +37,16 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(WORD_BYTES).split() if text else []
 
 
-def _postings(words: list[bytes]) -> tuple[bytes, bytes, bytes, bytes]:
-    """Terms (blank-separated), list lengths, gaps of one byte each, and the gaps too large for a byte."""
-    numbers = defaultdict(count().__next__)
-    codes = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    keys = np.sort((codes << 32) | np.arange(len(words), dtype=np.int64))
-    counts = np.bincount(codes, minlength=len(numbers)) if len(words) else np.zeros(0, np.int64)
+def _postings(terms: list[bytes], codes: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
+    """Terms (blank-separated), list lengths, gaps of one byte each, and the gaps too large for a byte, of the numbered words."""
+    keys = np.sort((codes.astype(np.int64) << 32) | np.arange(len(codes), dtype=np.int64))
+    counts = np.bincount(codes, minlength=len(terms)) if len(codes) else np.zeros(0, np.int64)
     places = keys & 0xFFFFFFFF
     gaps = np.diff(places, prepend=0)
     starts = np.cumsum(counts) - counts
     gaps[starts] = places[starts]
     large = gaps >= ESCAPE
-    return (b" ".join(numbers), counts.astype("<i4").tobytes(), np.where(large, ESCAPE, gaps).astype(np.uint8).tobytes(),
+    return (b" ".join(terms), counts.astype("<i4").tobytes(), np.where(large, ESCAPE, gaps).astype(np.uint8).tobytes(),
             gaps[large].astype("<i4").tobytes())
 
 
@@ -54,30 +54,33 @@ def build_index(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """Segments ``(segment, doc_ids, doc_words, terms, counts, gaps, large_gaps)`` over all words of whole texts.
 
-    A segment ends with the document that fills it; a document is never divided. Null texts have no words.
+    A segment ends with the document that fills it with ``segment_words`` words or SEGMENT_DOCUMENTS documents; a document is
+    never divided. Null texts have no words.
     """
     fields = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = fields.schema["id"].dataType.simpleString()
     names = ["segment", "doc_ids", "doc_words", "terms", "counts", "gaps", "large_gaps"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, lengths, words, arrow_type = [], [], [], None
+        ids, lengths, codes, arrow_type = [], [], array("i"), None
+        numbers = defaultdict(count().__next__)             # words are numbered as they come, so none is held twice
 
         def flush():
-            row = [uuid.uuid4().hex, ids, np.array(lengths, "<i4").tobytes(), *_postings(words)]
+            row = [uuid.uuid4().hex, ids, np.array(lengths, "<i4").tobytes(), *_postings(list(numbers), np.frombuffer(codes, np.int32))]
             types = [pa.string(), pa.list_(arrow_type)] + [pa.binary()] * 5
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         for batch in batches:
             arrow_type = batch.column("id").type
-            for i, text in zip(batch.column("id").to_pylist(), binary_values(batch.column("text"))):
+            for i, text in zip(batch.column("id"), each_binary(batch.column("text"))):
                 found = words_of(text)
-                ids.append(i)
+                ids.append(i.as_py())
                 lengths.append(len(found))
-                words += found
-                if len(words) >= segment_words:
+                codes.extend(map(numbers.__getitem__, found))
+                if len(codes) >= segment_words or len(ids) >= SEGMENT_DOCUMENTS:
                     yield flush()
-                    ids, lengths, words = [], [], []
+                    ids, lengths, codes = [], [], array("i")
+                    numbers = defaultdict(count().__next__)
         if ids:
             yield flush()
 

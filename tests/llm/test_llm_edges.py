@@ -13,7 +13,8 @@ from starling.llm.common import scratch
 
 WORDS = [f"{a}{b}" for a in ("tor", "mel", "san", "vik", "ul", "pra", "den", "os") for b in ("a", "en", "il", "ost", "um", "er")]
 CLASH = ["id", "key", "row", "kept", "segment", "length", "part", "hits", "label", "score", "component_id", "n_lines", "drop", "band",
-         "version", "spans", "toxic", "item", "digest", "payload"]
+         "version", "spans", "toxic", "item", "digest", "payload", "trusted_id", "lang_mean", "mean", "nll", "gone_id", "gone_version",
+         "version_", "version_doc_id", "row_id", "row_version", "n", "hit_id", "hit_version", "line", "first"]
 
 
 def words(seed, n):
@@ -93,6 +94,46 @@ def test_pipeline_stages_keep_the_columns_of_documents(spark, docs, labels, benc
         assert 0 < out.count() <= docs.count()
 
 
+def test_pipeline_stages_take_clashing_names_and_empty_side_tables(spark, docs, labels, bench):
+    repeated = docs.unionByName(docs.where("doc_id < 6"))
+    clash = repeated.select("*", *[F.lit("z").alias(c) for c in CLASH])
+    stages = [lambda d: kn_quality.keep_good(d, labels), line_dedup.clean_documents, lambda d: minhash.keep_one(d, width=5, numerator=80),
+              lambda d: decontaminate.drop_contaminated(d, bench)]
+    for stage in stages:
+        out = stage(clash)
+        assert out.columns == clash.columns and all(r["z"] == ["z"] for r in out.select(F.array_distinct(F.array(*CLASH)).alias("z")).collect())
+        assert canon(out.select(*docs.columns)) == canon(stage(repeated))
+    assert kn_quality.keep_good(docs, labels.limit(0)).count() == docs.count()
+    assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_the_model_equals_its_tables_laid_out(spark, docs):
+    orders = kn_quality.train(docs.select("text"))
+    low = np.full(1, 1 / kn_quality.SYMBOLS)
+    for k, rows in enumerate(orders):
+        weight = np.ones(kn_quality.SYMBOLS ** k)
+        got = rows.collect()
+        weight[[r["context"] for r in got]] = [r["rest"] for r in got]
+        # a gram that doesn't occur has its context's weight times the probability of its last symbols
+        low = (weight[:, None] * (np.tile(low.reshape(-1, kn_quality.SYMBOLS), (kn_quality.SYMBOLS, 1)) if k else low)).reshape(-1)
+        if not k:
+            low = np.full(kn_quality.SYMBOLS, low[0])
+        low[[r["gram"] for r in got]] = [r["p"] for r in got]
+    codes = np.concatenate([np.array([r["gram"] for r in got]), np.random.default_rng(3).integers(0, kn_quality.SYMBOLS ** 4, 300_000)])
+    found = kn_quality.Model(orders).log_probabilities(codes.astype(np.int32))
+    assert np.allclose(found, np.log(np.maximum(low[codes], 1e-9)), atol=1e-4)
+
+
+def test_segments_end_with_many_documents_without_words(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SEGMENT_DOCUMENTS", 8)
+    rows = [(i, None if i % 2 else "") for i in range(50)] + [(60, "alpha beta")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    index = decontaminate.build_index(df)
+    assert sorted(len(r["doc_ids"]) for r in index.collect()) == [3] + [8] * 6
+    item = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.find_contamination(df, item).where("size(hits) > 0").collect()] == [60]
+
+
 def test_minhash_defined_results(docs):
     got = {(r["doc_id"], r["n_shingles"]): r for r in minhash.near_duplicates(docs).collect()}
     by_id = {k[0]: v for k, v in got.items()}
