@@ -104,6 +104,51 @@ def test_one_row_repeated_is_cut_into_ranges(spark):
     assert max(sizes) < 100
 
 
+def near_rows():
+    """Distinct texts, edits of several sizes, a chain of edits whose ends are no pair, copies, and odd rows."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(12):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(160)]
+        for e in range(6):
+            rows.append((100 * k + e, " ".join(words)))
+            at = rng.randrange(0, 150)
+            words = words[:at] + [f"v{rng.randrange(10 ** 6)}" for _ in range(rng.choice([1, 2, 4]))] + words[at + rng.randrange(4):]
+    rows += [(2000 + i, rows[i][1].upper()) for i in range(0, 30, 7)]
+    return rows + [(3000, None), (3001, ""), (3002, "two words"), (3003, "Two\nWORDS"), (None, rows[0][1]), (0, rows[0][1])]
+
+
+def brute_components(rows):
+    sets = [brute_shingles(t or "") for _, t in rows]
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b) and label[i] != label[j]:
+                label = [label[j] if x == label[i] else x for x in label]
+    least = {}
+    for (k, _), x in zip(rows, label):
+        if k is not None:
+            least[x] = min(k, least.get(x, k))
+    return sorted((str(k), len(s), str(least.get(x))) for (k, _), s, x in zip(rows, sets, label))
+
+
+@pytest.mark.parametrize("tile_bytes", [8000, 8 << 20])
+def test_near_documents_equal_brute_force(spark, tile_bytes):
+    rows = near_rows()
+    df = with_clash(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    got = fingerprints.near_documents(df, tile_bytes=tile_bytes).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_components(rows)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+    sizes = Counter(r.component_id for r in got)
+    assert max(sizes.values()) > 3 and len(sizes) > 14
+
+
+def test_near_documents_of_no_rows(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert fingerprints.near_documents(empty).columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert fingerprints.near_documents(empty).count() == 0
+
+
 # ---- divergence ----
 
 def brute_audit(rows, top=200):
