@@ -28,16 +28,21 @@ NAME_WEIGHTS = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "
 PLACEHOLDERS = frozenset("changeme change_me example placeholder password secret token none null true false undefined "
                          "yourpassword your_password your-password todo redacted default string".split())
 
+# Each alternative scans a run once (possessive repeats), so that lexing takes linear time on any text. A mark of comments
+# counts at the start of a line or after white space and only ends a value: settings in comments are lexed like others. A quote
+# opens after white space, an operator, a bracket or a string prefix, not inside a word.
 LEXEME = re.compile(r"""
-    (?P<comment>\#[^\n]*|//[^\n]*)
-  | (?P<quoted>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
-  | (?P<ref>\$\{[A-Za-z_][A-Za-z0-9_.]*\}|\$[A-Za-z_][A-Za-z0-9_]*|\{\{\s*[A-Za-z_][A-Za-z0-9_.]*\s*\}\})
-  | (?P<op>:=|=>|===?|[:=](?!=))
+    (?P<comment>(?<!\S)(?:\#+|//+))
+  | (?P<quoted>(?:(?<![^\s=:,;+>()\[\]{}])|(?<![A-Za-z0-9_])[BFRUbfru]{1,2})
+               (?P<body>"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`))
+  | (?P<ref>\$\{[A-Za-z_][A-Za-z0-9_.]*+\}|\$[A-Za-z_][A-Za-z0-9_]*+|\{\{\s*+[A-Za-z_][A-Za-z0-9_.]*+\s*+\}\})
+  | (?P<op>:=|=>|===?|=|:(?!//))
   | (?P<plus>\+)
-  | (?P<word>[A-Za-z0-9_](?:[A-Za-z0-9_./-]*[A-Za-z0-9_/-])?=*(?=[\s"';,)\]}]|$)|[A-Za-z0-9_](?:[A-Za-z0-9_.-]*[A-Za-z0-9_])?)
+  | (?P<word>[A-Za-z0-9_][A-Za-z0-9_./-]*+)
   | (?P<end>[\n;,{}()\[\]])
-  | (?P<skip>[^\S\n]+|.)
+  | (?P<skip>[^\S\n]++|.)
 """, re.X | re.A)
+PADDING = re.compile(r"={1,2}(?=[\s;,)\]}]|\Z)")
 NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z", re.A)
 NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", re.A)
 
@@ -60,46 +65,51 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, object]]]]:
 
     Names may be quoted keys; ``=``, ``:``, ``:=`` and ``=>`` assign; parts joined with ``+`` belong together.
     """
-    found, name, parts, wants, ended = [], None, [], False, True
+    found, name, parts, wants = [], None, [], False
     last = None                                   # the latest possible target name
+    at, size = 0, len(text)
 
     def close():
         if name is not None and parts:
             found.append((name, list(parts)))
 
-    for m in LEXEME.finditer(text):
-        kind, value = m.lastgroup, m.group()
-        if kind in ("skip", "comment"):
+    while at < size:
+        m = LEXEME.match(text, at)
+        kind, at = m.lastgroup, m.end()
+        if kind == "skip":
             continue
-        if kind == "end":
+        if kind in ("end", "comment"):
             close()
             name, parts, wants, last = None, [], False, None
         elif kind == "op":
             if last is not None:
-                if parts:
-                    parts.pop() if parts[-1][1] == last or (parts[-1][0] == "lit" and parts[-1][1][0] == last) else None
-                    close()
+                if parts and parts[-1][0] != "ref" and parts[-1][1][0] == last:
+                    parts.pop()                   # the name of this assignment, not a part of the one before
+                close()
                 name, parts, wants, last = last, [], True, None
         elif kind == "plus":
             wants = name is not None and bool(parts)
         else:
-            quoted, ref = kind == "quoted", kind == "ref"
-            inner = value[1:-1] if quoted else re.sub(r"[${}\s]", "", value) if ref else value
+            if kind == "quoted":
+                start, inner = m.start("body") + 1, m["body"][1:-1]
+            else:
+                start, inner = m.start(), m.group()
+                inner = re.sub(r"[${}\s]", "", inner) if kind == "ref" else inner.rstrip(".")
             if wants:
-                start = m.start() + quoted
-                if ref:
+                padding = PADDING.match(text, at) if kind == "word" else None
+                if padding:
+                    at, inner = padding.end(), text[start:padding.end()]
+                if kind == "ref":
                     parts.append(("ref", inner))
-                elif quoted or not NAME.match(value) or any(c.isdigit() for c in value):
-                    parts.append(("lit", (inner, start, start + len(inner))))
-                    if not quoted and NAME.match(value):
-                        parts[-1] = ("word", (inner, start, start + len(inner)))
                 else:
-                    parts.append(("word", (inner, start, start + len(inner))))
+                    literal = kind == "quoted" or not NAME.match(inner)
+                    parts.append(("lit" if literal else "word", (inner, start, start + len(inner))))
                 wants = False
-            elif name is not None and parts and not quoted:
+            elif name is not None and parts and kind != "quoted":
                 close()                           # a second word on the line ends the value
                 name, parts = None, []
-            last = inner if NAME.match(inner) else None
+            last = inner.rpartition("/")[2] if kind == "word" else inner
+            last = last if NAME.match(last) else None
     close()
     return found
 
@@ -112,29 +122,46 @@ def name_weight(name: str) -> float:
 
 
 def literal_strength(value: str) -> float:
-    """0 for short, placeholder or prose-like values, else bits of entropy per character over 3, at most 1."""
-    if len(value) < 8 or value.lower() in PLACEHOLDERS or any(c.isspace() for c in value):
+    """0 for short, placeholder or prose-like values, else bits of entropy per character over 3, at most 1.
+
+    Values of one character class have 0.4 up to 23 characters, their entropy over 4 from 24 on or in blank-separated groups
+    of one length (at least three of 3). Such groups and values with blanks and a digit count without their blanks; four or
+    more other words of small letters have 0.5, further ones with blanks 0.
+    """
+    words = value.split()
+    if len(value) < 8 or any(w.lower() in PLACEHOLDERS for w in words):
         return 0.0
+    grouped = False
+    if len(words) > 1:
+        grouped = len(words) > 2 and len({len(w) for w in words}) == 1 and len(words[0]) >= 3
+        if not grouped and not any(c.isdigit() for c in value):
+            return 0.5 if len(words) >= 4 and all(w.isalpha() and w.islower() for w in words) else 0.0
+    value = "".join(words)
     n = len(value)
+    if n < 8:
+        return 0.0
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
     mixed = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return min(1.0, entropy / 3.0) if mixed >= 2 else 0.4
+    if mixed >= 2:
+        return min(1.0, entropy / 3.0)
+    return min(1.0, entropy / 4.0) if n >= 24 or grouped else 0.4
 
 
 def lexed_spans(text: str, threshold: float = 0.5) -> list[tuple[str, int, int]]:
     """Literals that reach a sensitive name, directly or through constants defined anywhere in the text.
 
-    A name keeps the parts of its latest assignment; references are followed once per name, so cycles end.
+    A name keeps the parts of its latest assignment. Names are taken from the most sensitive down, so each constant is
+    followed once in a text, with the greatest weight that reaches it; cycles end.
     """
     if "=" not in text and ":" not in text:
         return []
     pairs = assignments(text)
     constants = dict(pairs)
-    found = set()
+    found, seen = set(), set()
+    weighed = [(weight, parts) for name, parts in pairs if (weight := name_weight(name))]
 
-    for name, parts in pairs:
-        weight = name_weight(name)
-        pending, seen = list(parts) if weight else [], {name}
+    for weight, parts in sorted(weighed, key=lambda w: -w[0]):
+        pending = list(parts)
         while pending:
             kind, value = pending.pop()
             target = None if kind == "lit" else value if kind == "ref" else value[0]
