@@ -39,6 +39,22 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_MAX_ROWS else df
 
 
+_KEPT: dict = {}
+
+
+def keep(key, make):
+    """The object of ``key`` that a Python worker keeps from task to task; one at a time, made by ``make`` if it isn't there."""
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Drop what an earlier task left in this Python worker, for tasks that need the room themselves."""
+    _KEPT.clear()
+
+
 def binary_values(column: pa.Array | pa.ChunkedArray) -> list:
     """UTF-8 bytes (or None) of each value of a text column, without decoding."""
     return column.cast(pa.binary()).to_pylist()

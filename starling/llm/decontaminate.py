@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import each_binary, small_side, table
+from starling.llm.common import each_binary, release, small_side, table
 
 WINDOW = 10
 SEGMENT_WORDS = 1 << 18
@@ -62,6 +62,7 @@ def build_index(documents: DataFrame, *, id_col: str = "doc_id", text_col: str =
     names = ["segment", "doc_ids", "doc_words", "terms", "counts", "gaps", "large_gaps"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         ids, lengths, codes, arrow_type = [], [], array("i"), None
         numbers = defaultdict(count().__next__)             # words are numbered as they come, so none is held twice
 
@@ -203,6 +204,7 @@ def _search(index: DataFrame, block: Windows, item_type: str, slop: int) -> Data
     hit = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         arrow_items = None
         for batch in batches:
             for i in range(batch.num_rows):

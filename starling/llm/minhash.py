@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import connected_components, each_binary, small_side, table
+from starling.llm.common import connected_components, each_binary, release, small_side, table
 
 REGISTERS = 256                 # a power of two: the top bits of a shingle's hash choose its register
 ZERO_BITS, MANTISSA_BITS = 6, 10
@@ -208,6 +208,7 @@ def sketches(documents: DataFrame, id_col: str, text_col: str, width: int) -> Da
     id_type = fields.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         hashes = WordHashes()
         for batch in batches:
             sizes, keys, registers = [], [], []

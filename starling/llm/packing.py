@@ -11,7 +11,6 @@ import math
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starling.llm.common import small_side, table
+from starling.llm.common import keep, small_side, table
 
 CAPACITY = 1024
 END_ID = 2
@@ -123,10 +122,9 @@ class Encoder:
         return self.whole(text)
 
 
-@lru_cache(maxsize=1)
 def _encoder(path: str | None) -> Encoder:
     """One encoder for all tasks of a Python worker: its vocabulary is read, and its words are learnt, once."""
-    return Encoder(path)
+    return keep(("encoder", path), lambda: Encoder(path))
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:

@@ -372,3 +372,16 @@ def test_model_is_a_distribution_and_equals_its_definition(spark):
     some = list(counts)[:25] + [g[:3] + (35,) for g in list(counts)[:5]]
     for g in some:
         assert abs(p[(g[0] * 64 + g[1]) * 64 + g[2], g[3]] - prob(g)) < 1e-5
+
+
+def test_a_worker_keeps_one_object_at_a_time():
+    from starling.llm import common
+    made = []
+    first = common.keep("a", lambda: made.append("a") or object())
+    assert common.keep("a", lambda: made.append("again") or object()) is first and made == ["a"]
+    common.keep("b", lambda: made.append("b") or object())
+    assert common.keep("a", lambda: made.append("a2") or object()) is not first and made == ["a", "b", "a2"]
+    common.release()
+    common.keep("a", lambda: made.append("a3") or object())
+    assert made[-1] == "a3"
+    common.release()
