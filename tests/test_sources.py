@@ -184,3 +184,51 @@ def test_line_numbers_across_splits_and_files(spark, tmp_root):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_bad_cast_flag_equals_a_look_at_every_path(spark):
+    """The flag against one that takes each path of each item by itself; string paths, which always cast, are not read."""
+    from starling.functions import paths
+
+    def bad(value, every):
+        out = F.lit(False)
+        for _, path, kind in every:
+            raw = F.variant_get(value, path, "variant")
+            out = out | (raw.isNotNull() & ~F.is_variant_null(raw) & paths.get_path(value, path, kind, strict=False).isNull())
+        return out
+
+    d = F.col("payload")
+    raw, items = F.variant_get(d, "$.items", "variant"), F.try_variant_get(d, "$.items", "array<variant>")
+    bad_item = F.exists(items, lambda x: ~F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)) | bad(x, paths.ITEM_PATHS))
+    plain = bad(d, paths.ORDER_PATHS) | (raw.isNotNull() & ~F.is_variant_null(raw) & items.isNull()) | F.coalesce(bad_item, F.lit(False))
+
+    odd = [None, True, 0, 7, -1.5, 1e30, 10**37, 10**40, "12", " 12 ", "1e3", "x", "", "2026-02-01", "2026-02-30", [], [1], {}, {"a": 1}]
+    good = item(1000)
+    docs = [order_doc(1), order_doc(2, items=[good, good])]
+    for v in odd:
+        docs += [order_doc(v), order_doc(3, customer_id=v), order_doc(4, tier=v), order_doc(5, amount=v), order_doc(6, date=v),
+                 order_doc(7, status=v), {**order_doc(8), "items": v}, {**order_doc(9), "customer": v}, order_doc(10, items=[good, v])]
+        docs += [order_doc(11, items=[good, {**good, k: v}]) for k in good]
+    docs += [{k: w for k, w in order_doc(12).items() if k != gone} for gone in order_doc(12)]
+    docs += [order_doc(13, items=[{k: w for k, w in good.items() if k != gone}]) for gone in good]
+    rows = spark.createDataFrame([(json.dumps(x),) for x in docs] + [("null",), ("3",), ("[]",), (None,)], "text string").select(
+        "text", F.parse_json("text").alias("payload"))
+    flag = paths.bad_cast_flag("payload")
+    got = rows.select("text", flag.alias("got"), plain.alias("want")).collect()
+    assert [tuple(r) for r in got if r["got"] != r["want"]] == []
+    assert {r["want"] for r in got} == {True, False}
+    plan = rows.where(flag)._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.items" in plan and "$.status" not in plan
+
+
+def test_permissive_load_judges_each_row_once_before_the_shuffle(spark, tmp_root):
+    """What the reject count and the latest versions need of a document is one column, not two evaluations."""
+    from starling.plans import stage1
+    from starling.sources.json_files import landing_rows
+
+    files = spark.createDataFrame([("a.json", json.dumps([order_doc(1, items=[item(1000)]), order_doc(2, amount="x"), order_doc(None)]))],
+                                  "file_name string, value string")
+    rows = stage1.judged(landing_rows(files), strict=False)
+    assert sorted((r["order_id"] or 0, r["reason"]) for r in rows.collect()) == [
+        (0, stage1.REASON_NULL_KEY), (1, None), (2, stage1.REASON_BAD_VALUE)]
+    assert [int(r["order_id"]) for r in stage1.latest_judged(rows).collect()] == [1]
