@@ -144,8 +144,8 @@ def pieces_of(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         encoder, part, seen = _encoder(tokenizer_path), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows, which = [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = encoder.encode(text or "") + end
+            for i, text in enumerate(batch.column("text")):         # one at a time: a batch of long texts isn't held twice
+                ids = encoder.encode(text.as_py() or "") + end
                 for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start:4 * (start + length)]
                     rows.append((piece, start, length, zlib.crc32(own), part, seen[length],
