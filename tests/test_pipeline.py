@@ -240,3 +240,21 @@ def test_product_with_two_categories_in_one_order_is_settled(spark, tmp_root):
         order_doc(1, items=[item(1000, category="books"), item(1000, category="toys"), item(1000, category="art")])]}, 8)
     got = {stage2.dim_product_source(stage1.staged_items(stage1.latest_orders(b)).repartition(n)).first()["category"] for n in (1, 3, 5)}
     assert got == {"toys"}
+
+
+def test_batches_are_written_into_their_folder_and_documents_whole(spark, tmp_root):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    b1, b2 = batches(spark, tmp_root)
+    st = Store(spark, os.path.join(tmp_root, "s"))
+    pipeline.run_batches(st, [b1, b2])
+    for table in ("landing_loads", "stg_orders", "fact_order_items"):
+        assert os.path.exists(f"{st.path(table)}/batch_id=1/_SUCCESS") and not os.path.exists(f"{st.path(table)}/_SUCCESS")
+    assert not os.path.exists(f"{st.path('rejects')}/batch_id=0")           # without rows no folder stays
+    for f in glob.glob(f"{st.path('landing_loads')}/batch_id=*/*.parquet"):
+        payload = pq.read_schema(f).field("payload").type
+        assert "typed_value" not in [payload.field(i).name for i in range(payload.num_fields)]
+    rows = [r["order_id"] for r in st.batch("stg_orders", 0).collect()]
+    assert sorted(rows) == [1, 2, 3]

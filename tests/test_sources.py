@@ -232,3 +232,24 @@ def test_permissive_load_judges_each_row_once_before_the_shuffle(spark, tmp_root
     assert sorted((r["order_id"] or 0, r["reason"]) for r in rows.collect()) == [
         (0, stage1.REASON_NULL_KEY), (1, None), (2, stage1.REASON_BAD_VALUE)]
     assert [int(r["order_id"]) for r in stage1.latest_judged(rows).collect()] == [1]
+
+
+def test_text_of_an_array_is_made_once_and_texts_without_content_have_no_rows(spark):
+    docs = spark.createDataFrame([(2, "f", '{"order_id":2}'), (1, "f", '{"order_id":1}')], "order_id int, file_name string, doc string")
+    rows = jf.landing_rows(documents_to_files(docs))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("array_join(") == 1
+    assert [r["row_number"] for r in rows.orderBy("row_number").collect()] == [1, 2]
+    odd = spark.createDataFrame([("a", ""), ("b", " \r\n\t"), ("c", None), ("d", "[]"), ("e", " {} "), ("f", "x")], "file_name string, value string")
+    got = {(r["file_name"], r["row_number"], r["reject_reason"]) for r in jf.landing_rows(odd).collect()}
+    assert got == {("e", 1, None), ("f", 0, jf.REASON_MALFORMED)}
+
+
+def test_items_are_counted_as_they_are_taken(spark):
+    from starling.functions.paths import item_count
+
+    docs = ['{"items":[{"a":1},{}]}', '{"items":[]}', '{"items":null}', '{}', '{"items":[1,null,"x",[2]]}', '{"items":{"a":1}}', '5']
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, d string").select("i", F.parse_json("d").alias("p"))
+    got = [r["n"] for r in df.orderBy("i").select(item_count("p", strict=False).alias("n")).collect()]
+    assert got == [2, 0, 0, 0, 4, 0, 0]
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+        df.where("i = 5").select(item_count("p")).collect()
