@@ -54,6 +54,20 @@ class _Marks(dict):
         return found
 
 
+class _Words(dict):
+    """Ids of the words that stand behind ``before``; one that isn't there is learnt when it is looked up."""
+
+    def __init__(self, encoder, before: str):
+        super().__init__()
+        self.encoder, self.before = encoder, before
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > MEMO_ENTRIES:
+            self.clear()
+        found = self[word] = self.encoder._word(self.before, word)
+        return found
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -75,7 +89,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer())
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
-        self.first, self.later = {}, {}
+        self.first, self.later = _Words(self, ""), _Words(self, " ")
         self.feed = self.whole("\n")
         self.marks = _Marks(self)
 
@@ -86,40 +100,26 @@ class Encoder:
         """Ids of a word with what stands before it; letters alone are one token of the pre-tokenizer, so the model suffices."""
         if word.isalpha():
             mapped = (before + word).encode().decode("latin-1").translate(BYTE_LETTERS)
-            return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+            return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
         letters = word.rstrip(MARKS)
         if letters != word and letters.isalpha():         # a run of marks after letters is a token of its own
             return self._word(before, letters) + self.marks[word[len(letters):]]
         return self.whole(before + word)
 
-    def _learn(self, memo: dict, words: set, before: str) -> None:
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        for w in words:
-            if w not in memo:
-                memo[w] = self._word(before, w)
-
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n"
                 or any(c in text for c in RARE_SPACE) or any(s in text for s in self.special)):
             return self.whole(text)
-        lines = [line.split(" ") for line in text.split("\n")]
         out = []
-        for _ in range(3):
-            try:
-                for words in lines:
-                    out.append(self.first[words[0]])
-                    out += map(self.later.__getitem__, words[1:])
-                    out.append(self.feed)
-                out.pop()
-                return b"".join(out)
-            except KeyError:
-                out.clear()
-                self._learn(self.first, {words[0] for words in lines}, "")
-                self._learn(self.later, {w for words in lines for w in words[1:]}, " ")
-        return self.whole(text)
+        for line in text.split("\n"):
+            words = line.split(" ")
+            out.append(self.first[words[0]])
+            out += map(self.later.__getitem__, words[1:])
+            out.append(self.feed)
+        out.pop()
+        return b"".join(out)
 
 
 def _encoder(path: str | None) -> Encoder:

@@ -385,3 +385,12 @@ def test_a_worker_keeps_one_object_at_a_time():
     common.keep("a", lambda: made.append("a3") or object())
     assert made[-1] == "a3"
     common.release()
+
+
+def test_words_are_learnt_when_they_are_looked_up(monkeypatch):
+    encoder = packing.Encoder(None)
+    texts = ["some words, and some more", "öl und words\nwords and öl", "some 22 words!"]
+    assert [encoder.encode(t) for t in texts] == [encoder.whole(t) for t in texts]
+    assert encoder.later["unseen"] == encoder.whole(" unseen")
+    monkeypatch.setattr(packing, "MEMO_ENTRIES", 1)                 # forgotten words are learnt again, in the midst of a text
+    assert [encoder.encode(t) for t in texts] == [encoder.whole(t) for t in texts]
