@@ -258,3 +258,15 @@ def test_batches_are_written_into_their_folder_and_documents_whole(spark, tmp_ro
         assert "typed_value" not in [payload.field(i).name for i in range(payload.num_fields)]
     rows = [r["order_id"] for r in st.batch("stg_orders", 0).collect()]
     assert sorted(rows) == [1, 2, 3]
+
+
+def test_affected_orders_that_are_known_are_not_gathered(spark, tmp_root):
+    b1, b2 = batches(spark, tmp_root)
+    lats = [stage1.latest_orders(b) for b in (b1, b2)]
+    (o1, i1), (o2, i2) = ((stage1.staged_orders(x), stage1.staged_items(x)) for x in lats)
+    first = {k: v.drop("_merge_action") for k, v in stage2.apply_stage2({}, o1, i1).items()}
+    told = stage2.apply_stage2(first, o2, i2, affected=lats[1].select("order_id"))["fact_order_items"]
+    found = stage2.apply_stage2(first, o2, i2)["fact_order_items"]
+    rows = [sorted(tuple(str(x) for x in r) for r in df.select(*ITEM_KEY).collect()) for df in (told, found)]
+    assert rows[0] == rows[1] and len(rows[0]) == 4
+    assert "Aggregate" not in told._jdf.queryExecution().optimizedPlan().toString()
