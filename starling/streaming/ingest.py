@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from starling.sources.json_files import WHOLE_DOCUMENTS, Discovery, read_landing
+from starling.sources.json_files import PACKED, WHOLE_DOCUMENTS, Discovery, read_landing
 from starling.store.tables import Store
 from starling.streaming.progress import LANDED
 
@@ -29,7 +29,7 @@ def start_ingest(spark: SparkSession, source_dir: str, store: Store, max_files_p
     how = Discovery(max_files_per_trigger, max_bytes_per_trigger, archive)
     rows = read_landing(spark, source_dir, fmt, streaming=True, max_files_per_trigger=how, strict=strict).observe(
         LANDED, F.count(F.lit(1)).alias("rows_landed"), F.count("reject_reason").alias("rows_rejected"))
-    w = (rows.writeStream.format("parquet").outputMode("append").options(**WHOLE_DOCUMENTS)
+    w = (rows.writeStream.format("parquet").outputMode("append").options(**WHOLE_DOCUMENTS, **PACKED)
          .option("checkpointLocation", store.checkpoint("ingest"))
          .option("path", store.landing_path))
     if name:
